@@ -10,6 +10,7 @@ from stayglass.catalog.registry import STAYS, rd, register, tidy
 from stayglass.operators import encode, ranks, rows, splits
 from stayglass.plans import train as tr
 from stayglass.session import work_path
+from stayglass.sources import files
 from stayglass.sources import tables as t
 
 BOUNDARY = dt.date(1999, 6, 1)
@@ -162,7 +163,7 @@ def cross_validate(spark, folder):
     data = model_rows(spark, folder).where("split <> 'test'").drop("split")
     position = F.conv(F.substring("key", 1, 12), 16, 10).cast("bigint")
     folded = ranks.contiguous_folds(data.withColumn("position", position), "position", 3)
-    return tidy(tr.cross_validate(tr.BASELINES[0], folded, FEATURES, "log_price", "fold"))
+    return tidy(tr.cross_validate(tr.BASELINES[0], files.stored(folded, "folds"), FEATURES, "log_price", "fold"))
 
 
 @register("feature_importance")

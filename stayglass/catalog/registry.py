@@ -39,7 +39,7 @@ def tidy(df: DataFrame, digits: int = 4, keep: tuple[str, ...] = ()) -> DataFram
 
 def rd(expr: str, digits: int = 4) -> str:
     """Decimal half-up rounding of a double's shortest text, as Spark's ``round`` does it."""
-    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
 STAYS = """

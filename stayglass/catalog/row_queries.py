@@ -187,7 +187,7 @@ def fill_missing_distance(spark, folder):
 
 
 @register("dedupe_keep_first", """
-SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM (
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""")
 def dedupe_keep_first(spark, folder):

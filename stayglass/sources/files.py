@@ -13,6 +13,7 @@ from stayglass import fixed_values as fv
 from stayglass.functions.text import null_if_na
 from stayglass.operators.columns import quoted
 from stayglass.operators.rows import union_by_name
+from stayglass.session import work_path
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -114,6 +115,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder and read back, so later passes start from the files."""
+    return df.sparkSession.read.parquet(write_table(df, work_path(df.sparkSession, label)))
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
     return path

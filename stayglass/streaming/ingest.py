@@ -23,15 +23,22 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files: s
     return reader.parquet(folder)
 
 
+def event_time(stream: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need a timestamp; one without a zone is taken in the session's."""
+    if isinstance(stream.schema[ts].dataType, T.TimestampType):
+        return stream
+    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
 def dedupe_stream(stream: DataFrame, key: Sequence[str], ts: str, delay: str) -> DataFrame:
     """First arriving row per key; a key is remembered for ``delay`` of event time."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+    return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def daily_counts_stream(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Rows per day, emitted once the watermark has passed the day."""
     return (
-        stream.withWatermark(ts, delay)
+        event_time(stream, ts).withWatermark(ts, delay)
         .groupBy(F.window(ts, "1 day").alias("w"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.to_date("w.start").alias("day"), "n")
