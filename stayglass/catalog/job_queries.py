@@ -18,6 +18,7 @@ from stayglass.plans import features as feature_plan
 from stayglass.plans import fix_distances, profile, train
 from stayglass.plans import transform as transform_plan
 from stayglass.plans.unify import unify
+from stayglass.sources import files
 from stayglass.sources import tables as t
 
 
@@ -107,7 +108,8 @@ SELECT stay_id, {rd('ln(1 + cad)', 6)} AS log_price_cad, {bucket_sql('miles', *f
   CASE WHEN district IN (SELECT district FROM top) THEN district ELSE 'other' END || '_' || room_category AS district_room_combo
 FROM p""")
 def job_features(spark, folder):
-    engineered = feature_plan.engineer_features(job_transform(spark, folder))
+    transformed = files.stored(job_transform(spark, folder), "transformed")
+    engineered = feature_plan.engineer_features(transformed)
     return engineered.select(
         "stay_id", F.round("log_price_cad", 6).alias("log_price_cad"), "distance_category", "lead_time_category",
         "stay_category", "event_intensity", "temp_category", "checkin_month", "checkin_day_of_week",
@@ -122,7 +124,8 @@ def job_model_table(spark, folder):
         "district", "district_simple", "booking_lead_time", "length_of_stay", "room_category", "is_weekend", "is_holiday",
         "week_of_year", "weekend_holiday", "checkin_month", "Distance from attraction", "MEAN_TEMPERATURE", "absent",
     ]
-    engineered = feature_plan.engineer_features(job_transform(spark, folder))
+    transformed = files.stored(job_transform(spark, folder), "transformed")
+    engineered = feature_plan.engineer_features(transformed)
     table, kept = feature_plan.model_table(engineered, wanted, keep=["stay_id"])
     return table.agg(F.count(F.lit(1)).alias("n")).withColumn("features", F.lit(len(kept)).cast("bigint"))
 

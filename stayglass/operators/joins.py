@@ -29,7 +29,8 @@ def join_weather(stays: DataFrame, weather: DataFrame, checkin: str, day: str,
     station, so a stay repeats once per station of its day.
     """
     if not fanout:
-        weather = one_row_per_day(weather, day, measures)
+        # one row per calendar day, so the stays need no shuffle by check-in date
+        weather = F.broadcast(one_row_per_day(weather, day, measures))
     clashing = {c: f"{c}_weather" for c in weather.columns if c in stays.columns and c != day}
     weather = weather.withColumnsRenamed({**clashing, day: "_weather_day"})
     return stays.join(weather, F.col(checkin) == F.col("_weather_day"), "left").drop("_weather_day")
@@ -73,18 +74,14 @@ def calendar_flag(df: DataFrame, start: str, end: str, calendar: DataFrame, day:
                   name: str) -> DataFrame:
     """Does a calendar day fall in the closed range? Null or reversed ranges do not.
 
-    Only the distinct date ranges meet the calendar; rows then look up their range.
+    The calendar is a dimension of distinct days, so it comes in as one array and the rows are
+    neither exploded nor shuffled.
     """
-    ranges = df.select(start, end).where(F.col(end) >= F.col(start)).distinct()
-    days = calendar.select(F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct()
-    hit = (
-        ranges.withColumn("_day", F.explode(F.sequence(start, end)))
-        .join(days, "_day", "left_semi")
-        .select(start, end)
-        .distinct()
-        .withColumn(name, F.lit(True))
-    )
-    return df.join(hit, [start, end], "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    days = calendar.select(F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct().agg(
+        F.sort_array(F.collect_list("_day"))
+    ).scalar()
+    hit = F.exists("_days", lambda d: (d >= F.col(start)) & (d <= F.col(end)))
+    return df.withColumn("_days", days).withColumn(name, F.coalesce(hit, F.lit(False))).drop("_days")
 
 
 def day_pairs(stays: DataFrame, events: DataFrame, checkin: str, checkout: str, lat: str, lon: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stayglass.functions.buckets import bucket_right_closed
 from stayglass.operators.quantiles import exact_quantiles, values_at_ranks
-from stayglass.operators.rows import in_top_categories, top_k
+from stayglass.operators.rows import in_top_categories, top_k, union_by_name
 
 
 def describe_column(df: DataFrame, column: str) -> DataFrame:
@@ -159,22 +159,30 @@ def strength_label(r: Column) -> Column:
     )
 
 
+def _chunks(items: list) -> list[list]:
+    """Few correlations per aggregate: past 100 buffer fields Spark gives up generated code, which
+    costs far more than reading the columns again."""
+    return [items[i:i + 14] for i in range(0, len(items), 14)]
+
+
 def correlation_ranking(df: DataFrame, features: Sequence[str], target: str, min_rows: int = 10) -> DataFrame:
     """Pearson r with the target on pairwise complete rows, one row per feature with enough rows.
 
-    ``corr`` itself skips rows with a null on either side, so one pass serves all features.
+    ``corr`` itself skips rows with a null on either side, so features share a pass.
     """
-    aggs = []
-    for i, f in enumerate(features):
-        aggs += [
+    def part(chunk: Sequence[str]) -> DataFrame:
+        facts = df.agg(*[c for i, f in enumerate(chunk) for c in (
             F.corr(f, target).alias(f"r{i}"),
             F.count_if(F.col(f).isNotNull() & F.col(target).isNotNull()).alias(f"n{i}"),
-        ]
-    rows = F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
-        for i, f in enumerate(features)
-    ])
-    return df.agg(*aggs).select(F.inline(rows)).where((F.col("n") > min_rows) & F.col("r").isNotNull()).select(
+        )])
+        rows = F.array(*[
+            F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
+            for i, f in enumerate(chunk)
+        ])
+        return facts.select(F.inline(rows))
+
+    found = union_by_name(*[part(c) for c in _chunks(list(features))])
+    return found.where((F.col("n") > min_rows) & F.col("r").isNotNull()).select(
         "feature", "r", "n",
         strength_label(F.col("r")).alias("strength"),
         F.when(F.col("r") > 0, "positive").otherwise("negative").alias("direction"),
@@ -182,15 +190,24 @@ def correlation_ranking(df: DataFrame, features: Sequence[str], target: str, min
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form, all ordered pairs: each unordered pair is computed once, in a single pass."""
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    facts = df.agg(*[F.corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r_{min(i, j)}_{max(i, j)}").alias("r"))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    ])
-    return facts.select(F.inline(rows))
+    """Long form, all ordered pairs: each unordered pair is computed once.
+
+    A varying column correlates with itself by 1; constant columns have no correlation.
+    """
+    def part(chunk: Sequence[tuple[str, str]]) -> DataFrame:
+        facts = df.agg(*[F.corr(x, y).alias(f"r{i}") for i, (x, y) in enumerate(chunk)])
+        return facts.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"))
+            for i, (x, y) in enumerate(chunk) for a, b in ((x, y), (y, x))
+        ])))
+
+    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i + 1:]]
+    varies = df.agg(*[(F.max(c) > F.min(c)).alias(f"v{i}") for i, c in enumerate(columns)])
+    diagonal = varies.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.when(F.col(f"v{i}"), F.lit(1.0)).alias("r"))
+        for i, c in enumerate(columns)
+    ])))
+    return union_by_name(*[part(c) for c in _chunks(pairs)], diagonal)
 
 
 def trend_line(df: DataFrame, y: str, x: str) -> DataFrame:

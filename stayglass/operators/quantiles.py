@@ -9,11 +9,12 @@ are sorted. The approximate cuts steer the work; the result is exact whatever th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 64
+BINS = 256  # a sorted slice holds about this share of the distinct values of its group
 
 
 def _ranked_values(df: DataFrame, value: Column, by: Sequence[str], ranks_of) -> DataFrame:
@@ -24,42 +25,35 @@ def _ranked_values(df: DataFrame, value: Column, by: Sequence[str], ranks_of) ->
     by = list(by)
     clean = df.select(*by, value.alias("_v")).where("_v IS NOT NULL")
     counted = clean.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    steps = [i / BINS for i in range(1, BINS)]
-    group_facts = [
-        F.percentile_approx("_v", steps, 16 * BINS).alias("_cuts"),
+    facts = [
+        F.percentile_approx("_v", [i / BINS for i in range(1, BINS)], 16 * BINS).alias("_cuts"),
         F.sum("_n").alias("_total"),
     ]
     keys = [f"_k{i}" for i in range(len(by))]
     if by:
-        facts = counted.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)]).agg(*group_facts)
-        located = counted.join(facts, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)]).drop(*keys)
+        per_group = counted.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)]).agg(*facts)
+        located = counted.join(per_group, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)]).drop(*keys)
     else:
-        facts = counted.agg(F.struct(*group_facts).alias("f")).select("f").scalar()
-        located = counted.withColumn("_f", facts).select("_v", "_n", "_f._cuts", "_f._total")
-    located = located.withColumn(
-        "_bin", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
-    ).drop("_cuts")
+        whole = counted.agg(F.struct(*facts).alias("f")).select("f").scalar()
+        located = counted.withColumn("_f", whole).select("_v", "_n", "_f._cuts", "_f._total")
+    located = located.withColumn("_bin", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
 
-    per_group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     # at most BINS rows per group reach this window
-    bins = located.groupBy(*by, "_bin").agg(
-        F.sum("_n").alias("_bin_n"), F.max("_total").alias("_bin_total")
-    ).withColumn(
-        "_start",
-        F.sum("_bin_n").over(per_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
-        - F.col("_bin_n"),
-    )
-    holds = None
-    for rank in ranks_of(F.col("_bin_total")):
-        test = (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_bin_n"))
-        holds = test if holds is None else holds | test
+    before = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    bins = located.groupBy(*by, "_bin").agg(F.sum("_n").alias("_bin_n"), F.max("_total").alias("_bin_total"))
+    running = F.sum("_bin_n").over(before.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    bins = bins.withColumn("_start", running - F.col("_bin_n"))
+    holds = reduce(lambda a, b: a | b, [
+        (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_bin_n"))
+        for rank in ranks_of(F.col("_bin_total"))
+    ])
     wanted = bins.where(holds).select(
         *[F.col(c).alias(k) for c, k in zip(by, keys)], F.col("_bin").alias("_b"), "_start"
     )
     same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)]
-    kept = located.join(wanted, [*same, F.col("_bin") == F.col("_b")]).drop(*keys, "_b")
+    kept = located.join(wanted, [*same, F.col("_bin") == F.col("_b")])
     in_bin = Window.partitionBy(*by, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    return kept.withColumn("_end", F.col("_start") + F.sum("_n").over(in_bin))
+    return kept.select(*by, "_v", "_n", "_total", (F.col("_start") + F.sum("_n").over(in_bin)).alias("_end"))
 
 
 def exact_quantiles(df: DataFrame, value: Column | str, quantiles: dict[str, float],
