@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayglass.functions import geo
 from stayglass.functions.dates import days_between
+from stayglass.operators.profile import pearson
 
 # pairs one task may produce for one day before the day is split further
 PAIRS_PER_TASK = 4_000_000
@@ -124,8 +125,8 @@ def infer_reference_point(df: DataFrame, lat: str, lon: str, distance: str,
     facts = known.agg(
         F.count(F.lit(1)).alias("n"),
         *[
-            F.corr(geo.haversine_miles(F.col(lat), F.col(lon), F.lit(p_lat), F.lit(p_lon)),
-                   F.col(f"`{distance}`")).alias(f"r{i}")
+            pearson(geo.haversine_miles(F.col(lat), F.col(lon), F.lit(p_lat), F.lit(p_lon)),
+                    F.col(f"`{distance}`")).alias(f"r{i}")
             for i, (_, p_lat, p_lon) in enumerate(points)
         ],
     )

@@ -159,20 +159,30 @@ def strength_label(r: Column) -> Column:
     )
 
 
+def pearson(x: str | Column, y: str | Column) -> Column:
+    """Correlation over the rows that have both; null when either is constant there.
+
+    ``corr`` itself fails on a constant column in ANSI mode.
+    """
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def _chunks(items: list) -> list[list]:
     """Few correlations per aggregate: past 100 buffer fields Spark gives up generated code, which
     costs far more than reading the columns again."""
-    return [items[i:i + 14] for i in range(0, len(items), 14)]
+    return [items[i:i + 8] for i in range(0, len(items), 8)]
 
 
 def correlation_ranking(df: DataFrame, features: Sequence[str], target: str, min_rows: int = 10) -> DataFrame:
     """Pearson r with the target on pairwise complete rows, one row per feature with enough rows.
 
-    ``corr`` itself skips rows with a null on either side, so features share a pass.
+    Rows with a null on either side are skipped per feature, so features share a pass.
     """
     def part(chunk: Sequence[str]) -> DataFrame:
         facts = df.agg(*[c for i, f in enumerate(chunk) for c in (
-            F.corr(f, target).alias(f"r{i}"),
+            pearson(f, target).alias(f"r{i}"),
             F.count_if(F.col(f).isNotNull() & F.col(target).isNotNull()).alias(f"n{i}"),
         )])
         rows = F.array(*[
@@ -195,7 +205,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     A varying column correlates with itself by 1; constant columns have no correlation.
     """
     def part(chunk: Sequence[tuple[str, str]]) -> DataFrame:
-        facts = df.agg(*[F.corr(x, y).alias(f"r{i}") for i, (x, y) in enumerate(chunk)])
+        facts = df.agg(*[pearson(x, y).alias(f"r{i}") for i, (x, y) in enumerate(chunk)])
         return facts.select(F.inline(F.array(*[
             F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"))
             for i, (x, y) in enumerate(chunk) for a, b in ((x, y), (y, x))
