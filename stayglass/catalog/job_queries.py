@@ -92,7 +92,8 @@ SELECT stay_id, snapshot AS "Date", checkin AS "Check-in Date", checkout AS "Che
   is_holiday, district, dlat AS latitude, dlon AS longitude, is_weekend, week AS week_of_year, lead AS booking_lead_time, room_category
 FROM final""")
 def job_transform(spark, folder):
-    return transform_plan.transform(listings(spark, folder), t.holidays(spark, folder))
+    raw = files.stored(listings(spark, folder), "listings")
+    return transform_plan.transform(raw, t.holidays(spark, folder))
 
 
 @register("job_features", f"""

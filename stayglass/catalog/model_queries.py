@@ -62,11 +62,11 @@ def label_encode(spark, folder):
 
 
 @register("global_row_number", """
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST(l_shipdate AS DATE) AS l_shipdate,
   row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS position FROM lineitem""")
 def global_row_number(spark, folder):
     order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    lines = t.table(spark, folder, "lineitem").select(*order)
+    lines = t.table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate")).select(*order)
     return tidy(ranks.global_row_number(lines, order, "position"), keep=("l_extendedprice",))
 
 

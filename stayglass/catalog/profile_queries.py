@@ -58,16 +58,19 @@ def group_premium(spark, folder):
     return tidy(p.group_premium(t.stays(spark, folder), F.weekday("checkin") >= 5, "price"))
 
 
+# no stay is booked more than 200 days ahead, so the last bin stays empty
+LEAD_PROFILE = ([-1, 0, 7, 30, 90, 200, float("inf")], [*fv.LEAD_BINS[1], "beyond"])
+
+
 @register("binned_profile", f"""
-WITH {STAYS}, b AS (SELECT {bucket_sql('(checkin - snapshot)', *fv.LEAD_BINS)} AS bin, price FROM stays WHERE (checkin - snapshot) <= 90),
+WITH {STAYS}, b AS (SELECT {bucket_sql('(checkin - snapshot)', *LEAD_PROFILE)} AS bin, price FROM stays),
 s AS (SELECT bin, avg(price) AS mean, quantile_cont(price, 0.5) AS median, count(*) AS n FROM b WHERE bin IS NOT NULL GROUP BY bin),
-d(bin_no, bin) AS (VALUES {", ".join(f"({i}, '{b}')" for i, b in enumerate(fv.LEAD_BINS[1]))})
+d(bin_no, bin) AS (VALUES {", ".join(f"({i}, '{b}')" for i, b in enumerate(LEAD_PROFILE[1]))})
 SELECT CAST(bin_no AS BIGINT) AS bin_no, d.bin, {rd('mean', 2)} AS mean, {rd('median', 2)} AS median, coalesce(n, 0) AS n
 FROM d LEFT JOIN s USING (bin)""")
 def binned_profile(spark, folder):
     lead = F.datediff("checkin", "snapshot")
-    # no stay is booked more than 90 days ahead here, so the last bin stays empty
-    return p.binned_profile(t.stays(spark, folder).where(lead <= 90), lead, *fv.LEAD_BINS, "price")
+    return p.binned_profile(t.stays(spark, folder), lead, *LEAD_PROFILE, "price")
 
 
 @register("describe_column", f"""

@@ -187,12 +187,12 @@ def fill_missing_distance(spark, folder):
 
 
 @register("dedupe_keep_first", """
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM (
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""")
 def dedupe_keep_first(spark, folder):
     lines = t.table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"
+        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("l_shipdate"), "l_partkey", "l_suppkey", "l_extendedprice"
     )
     return tidy(
         rows.keep_first(lines, ["l_orderkey", "l_linenumber", "absent"], [F.col("l_shipdate"), F.col("l_partkey")]),

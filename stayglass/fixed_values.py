@@ -18,7 +18,6 @@ NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-NON_PRICE_TEXTS = ["nan", "None", "Free airport taxi", "", " "]
 
 # --- fixed values: columns -------------------------------------------------------------------
 DEDUPE_KEY = ["Hotel name", "Check-in Date", "Check-out Date", "Room Type", "Date"]

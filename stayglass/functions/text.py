@@ -14,15 +14,17 @@ def null_if_na(c: Column, tokens: list[str] = fv.NA_TOKENS) -> Column:
 
 
 def parse_price_strict(c: Column) -> Column:
-    """``$1,200`` -> 1200.0; null unless the whole remaining text is a plain number."""
-    bare = F.regexp_replace(c, "[$,]", "")
-    keep = ~c.isin(fv.NON_PRICE_TEXTS) & bare.rlike(r"^\d+\.?\d*$")
-    return F.when(keep, bare).try_cast("double")
+    """``$1,200`` -> 1200.0; null unless the whole remaining text is a plain number.
+
+    Texts such as ``Free airport taxi`` match nothing, and an empty match casts to null.
+    """
+    bare = F.translate(c, "$,", "")
+    return F.regexp_extract(bare, r"^(\d+\.?\d*)$", 1).try_cast("double")
 
 
 def parse_first_number(c: Column) -> Column:
     """First run of digits and dots in the text, as a number."""
-    return F.nullif(F.regexp_extract(c, r"([\d.]+)", 1), F.lit("")).try_cast("double")
+    return F.regexp_extract(c, r"([\d.]+)", 1).try_cast("double")
 
 
 def parse_date(c: Column) -> Column:

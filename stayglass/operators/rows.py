@@ -27,7 +27,7 @@ def anti_join_denied(df: DataFrame, column: str, denied: DataFrame, denied_colum
 
 def within_or_null(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     c = F.col(quoted(column))
-    return df.where(c.isNull() | c.between(low, high))
+    return df.where(F.coalesce(c.between(low, high), F.lit(True)))
 
 
 def plausible(c: Column, low: float = fv.PLAUSIBLE_MILES[0], high: float = fv.PLAUSIBLE_MILES[1]) -> Column:
