@@ -37,6 +37,25 @@ def job_unify(spark, folder):
     ), keep=("price",))
 
 
+BASIC = ", ".join(
+    f"coalesce({c}, 'None') AS {c}" if c == "events_primary_segment" else f"coalesce({c}, 0) AS {c}"
+    for c in sf.BASIC_FEATURES
+)
+
+
+@register("job_unify_basic", f"""
+WITH {stay_features_sql(False)}, {WEATHER}
+SELECT stay_id, station, {rd('mean_temp')} AS mean_temp, {BASIC}
+FROM stays LEFT JOIN weather ON checkin = day LEFT JOIN basic USING (stay_id)""")
+def job_unify_basic(spark, folder):
+    # no coordinates: features from dates alone, weather kept per station
+    stays = t.stays(spark, folder).drop("lat", "lon")
+    unified = unify(
+        stays, t.city_events(spark, folder), t.station_weather(spark, folder), ["mean_temp"], weather_fanout=True
+    )
+    return tidy(unified.select("stay_id", "station", "mean_temp", *sf.BASIC_FEATURES))
+
+
 def listings(spark, folder):
     """Stays as raw listing rows with the texts a scrape would hold."""
     key = F.col("stay_id")

@@ -121,9 +121,14 @@ def distance_features(stays: DataFrame, events: DataFrame, stay: Mapping[str, st
     pairs = interval_join(spells, points, spell[0], spell[1], "_event_day", spell).withColumn(
         "_km", rounded_km(F.col(spell[2]), F.col(spell[3]), F.col("_event_lat"), F.col("_event_lon"))
     )
-    # one shuffle by spell serves the median and every other figure; the sort spills to disk
+    # equal distances merge before the shuffle: all pairs of a spell and day come out of one task,
+    # and two-decimal distances bound a spell to two million rows however many events there are
+    merged = pairs.groupBy(*spell, "_km").agg(
+        F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"), F.max("_max").alias("_max")
+    )
+    # the sort for the median spills to disk and serves every other figure as well
     per_spell = Window.partitionBy(*spell)
-    ranked = pairs.select(
+    ranked = merged.select(
         *spell, "_km", "_n", "_sum", "_max",
         F.sum("_n").over(per_spell.orderBy("_km").rowsBetween(Window.unboundedPreceding, 0)).alias("_end"),
         F.sum("_n").over(per_spell).alias("_total"),
