@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stayglass import fixed_values as fv
 from stayglass.catalog.registry import (
-    HOLIDAYS, STAY_EVENTS, STAYS, WEATHER, km, miles, rd, register, stay_features_sql, tidy,
+    HOLIDAYS, STAY_EVENTS, STAYS, WEATHER, miles, rd, register, stay_features_sql, tidy,
 )
 from stayglass.operators import joins as j
 from stayglass.operators import stay_features as sf

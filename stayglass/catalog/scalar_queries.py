@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stayglass import fixed_values as fv
 from stayglass.catalog.registry import (
-    CITY_EVENTS, STAYS, bucket_sql, case_sql, km, miles, rd, register, tidy,
+    STAYS, bucket_sql, case_sql, km, miles, rd, register, tidy,
 )
 from stayglass.functions import buckets, dates, geo, rules, text
 from stayglass.operators import profile
