@@ -20,8 +20,9 @@ first partition, of the other shingles alone, in which similar sets also differ
 too few of its segments falls back on the partition of all its shingles; two similar sets meet in one or the other.
 Which shingles are hot changes the work, never the result.
 
-**Verification.** Keys that two classes or more share give links to the smallest member of the key, checked by a
-parity bitmap (a lower bound of the difference, exact) and then by the sets themselves. Links join components. Members
+**Verification.** The smallest member of a key is its hub. Each class is paired with the hub that it shares most keys
+with, if sizes and parity bits (a lower bound of the difference, first 256, then as many as shingles) allow; the sets
+themselves decide. Links join components. Members
 of a key that are still in different components are then paired, checked and linked in the same way, so no link between
 components is lost, while copies of one component aren't paired with each other.
 """
@@ -334,37 +335,69 @@ def _in_filter(filter_bytes: bytes, ids: np.ndarray, bits: int) -> np.ndarray:
     return (np.frombuffer(filter_bytes, np.uint8)[at] >> (position % 8).astype(np.uint8)) & 1 > 0
 
 
-def candidate_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(class, n, items, bits) of the wanted classes; ``wanted`` has class and id, the smallest document with it.
+def _wanted_texts(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, columns, schema: str, s: Settings) -> DataFrame:
+    """One row of ``columns(sets)`` for each wanted class; ``wanted`` has class and id, the smallest document with it.
 
     Only texts whose id passes a filter of fixed size are cut into shingles again."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(bit_filter(wanted.where("id is not null"), "id", s.filter_bits))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted.where("id is not null"), "id", s.filter_bits))
 
     def apply(batches):
         for batch in slices(batches, text):
             ids = batch.column(doc_id)
             maybe = _in_filter(shared.value, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), s.filter_bits)
             batch = batch.filter(pa.array(maybe | ids.is_null().to_numpy(zero_copy_only=False)))
-            sets = [x for x in _sets(batch.column(text), s) if len(x)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_class(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), *_parity(sets)],
-                ["class", "n", "items", "b0", "b1", "b2", "b3"],
-            )
+            sets = {_class(x): x for x in _sets(batch.column(text), s) if len(x)}
+            arrays = [pa.array(list(sets), pa.int64()), *columns(list(sets.values()))]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
-    found = docs.select(name_of(doc_id).cast("bigint").alias(doc_id), name_of(text)).mapInArrow(
-        apply, "class bigint, n bigint, items binary, b0 bigint, b1 bigint, b2 bigint, b3 bigint"
-    )
+    names = [x.split()[0] for x in ("class bigint, " + schema).split(", ")]
+    found = docs.select(name_of(doc_id).cast("bigint").alias(doc_id), name_of(text)).mapInArrow(apply, "class bigint, " + schema)
     return found.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
 
-def _parity(sets: list[np.ndarray]) -> list[pa.Array]:
-    """256 bits of each set; a shingle flips one. Bits that differ between sets are at most their difference."""
-    bits = np.zeros((len(sets), 256), np.uint8)
-    for i, x in enumerate(sets):
-        bits[i] = np.bincount((mix(x) & np.uint64(255)).astype(np.int64), minlength=256) & 1
-    words = np.packbits(bits, axis=1).view("<i8").reshape(len(sets), 4) if len(sets) else np.zeros((0, 4), np.int64)
-    return [pa.array(np.ascontiguousarray(words[:, i])) for i in range(4)]
+def sketches(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, s: Settings) -> DataFrame:
+    """(class, n, b0 to b3, parity): size, 256 parity bits, and a parity bit for each shingle or more."""
+
+    def columns(sets):
+        small = np.array([np.frombuffer(_parity(x, 256), "<i8") for x in sets]).reshape(len(sets), 4)
+        wide = [_parity(x, max(256, 1 << (len(x) - 1).bit_length())) for x in sets]
+        return [pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.ascontiguousarray(small[:, i])) for i in range(4)), pa.array(wide, pa.binary())]
+
+    return _wanted_texts(docs, doc_id, text, wanted, columns, "n bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint, parity binary", s)
+
+
+def whole_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, s: Settings) -> DataFrame:
+    """(class, items): the packed shingle hashes of the wanted classes."""
+    return _wanted_texts(docs, doc_id, text, wanted, lambda sets: [pa.array([x.tobytes() for x in sets], pa.binary())], "items binary", s)
+
+
+def _parity(x: np.ndarray, size: int) -> bytes:
+    """Bits of which each shingle flips one. Two sets differ in at least as many shingles as their bits."""
+    bits = np.bincount((mix(x) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Bits that differ; of the longer map, parts that share a place in the shorter are put together."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(x) > len(y):
+        x, y = y, x
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def plausible(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose wide parity bits allow the similarity."""
+
+    def check(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")))
+            keep = [_apart(x, y) * (100 + percent) <= (n + m) * (100 - percent) for n, m, x, y in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sketch.select(F.col("class").alias("a"), "n", F.col("parity").alias("x"))
+    right = sketch.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(check, "a bigint, b bigint")
 
 
 def possible(a: str, b: str, percent: int):
@@ -375,8 +408,13 @@ def possible(a: str, b: str, percent: int):
     return close
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are similar, by their whole sets."""
+def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) of classes that are similar, by their whole sets. Sets are made for classes in pairs only."""
+    percent = s.percent
+    pairs = stored(pairs.select("a", "b"), "jaccard-pairs")
+    ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    ends = stored(ends.join(classes, "class"), "jaccard-ends")
+    sets = stored(whole_sets(docs, doc_id, text, ends, s), "jaccard-sets")
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("items").alias("y"))
 
@@ -416,14 +454,15 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = max(1, int(volume * 0.6 / s.keys_in_part))
     keyed = stored(shared_keys(signatures(docs, text, shared, parts, s)), "jaccard-keys")
     wanted = stored(keyed.select("class").distinct().join(classes, "class"), "jaccard-wanted")
-    sets = stored(candidate_sets(docs, doc_id, text, wanted, s), "jaccard-sets")
-    sketch = sets.drop("items")
+    parity = stored(sketches(docs, doc_id, text, wanted, s), "jaccard-sketches")
+    sketch = parity.drop("parity")
 
-    # links to the smallest member of each key
+    # each class to the hub that it shares most keys with; the hub of a key is its smallest member
     hub = keyed.groupBy("key").agg(F.min("class").alias("a"))
-    star = keyed.join(hub, "key").where(F.col("class") != F.col("a")).select("a", F.col("class").alias("b")).distinct()
+    star = keyed.join(hub, "key").where(F.col("class") != F.col("a")).groupBy("a", F.col("class").alias("b")).agg(F.count("*").alias("keys"))
     star = star.join(sketch.alias("p"), F.col("a") == F.col("p.class")).join(sketch.alias("q"), F.col("b") == F.col("q.class"))
-    links = stored(verified(star.where(possible("p", "q", s.percent)).select("a", "b"), sets, s.percent), "jaccard-links")
+    star = star.where(possible("p", "q", s.percent)).groupBy("b").agg(F.max_by("a", "keys").alias("a"))
+    links = stored(verified(plausible(star.select("a", "b"), parity, s.percent), docs, doc_id, text, classes, s), "jaccard-links")
     label = components(links)
 
     # members of a key in different components
@@ -432,7 +471,8 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     open_ = stored(member.join(mixed, "key").join(sketch, "class"), "jaccard-open")
     p, q = open_.alias("p"), open_.alias("q")
     apart = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.part") < F.col("q.part")) & possible("p", "q", s.percent))
-    more = verified(apart.select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct(), sets, s.percent)
+    apart = apart.select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct()
+    more = verified(plausible(apart, parity, s.percent), docs, doc_id, text, classes, s)
     label = components(stored(links.unionByName(more), "jaccard-all-links"))
 
     # the smallest id of each component
