@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayglass.llm import byte_bpe, decontaminate, jaccard_join, quality_model, sql
+from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model, sql
 from stayglass.llm.common import table
 
 QUERIES: dict = {}
@@ -29,6 +29,13 @@ def quality_classifier(spark, folder):
     return scores.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+@register("op2_line_dedup", sql.LINE_DEDUP)
+def line_chunks(spark, folder):
+    out = line_dedup.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return out.select("doc_id", "n_chunks", "n_removed", F.length("text").cast("bigint").alias("n_chars_left"), digest.alias("text_sha256"))
+
+
 @register("op3_jaccard_join", sql.JACCARD)
 def ngram_jaccard(spark, folder):
     return jaccard_join.join_components(table(spark, folder, "documents"))

@@ -15,11 +15,11 @@ sets AS (
 classes AS (SELECT s, min(doc_id) AS class, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
 items AS (SELECT class, n, unnest(s) AS item FROM classes),
 pairs AS (
-  SELECT a.class AS x, b.class AS y, a.n AS n, b.n AS m, count(*) AS both
+  SELECT a.class AS x, b.class AS y, a.n AS n, b.n AS m, count(*) AS common
   FROM items a JOIN items b ON a.item = b.item AND a.class < b.class GROUP BY 1, 2, 3, 4),
 links AS (
-  SELECT x, y FROM pairs WHERE 100 * both >= 80 * (n + m - both)
-  UNION SELECT y, x FROM pairs WHERE 100 * both >= 80 * (n + m - both)),
+  SELECT x, y FROM pairs WHERE 100 * common >= 80 * (n + m - common)
+  UNION SELECT y, x FROM pairs WHERE 100 * common >= 80 * (n + m - common)),
 reach AS (
   SELECT class AS node, class AS seen FROM classes
   UNION SELECT reach.node, links.y FROM reach JOIN links ON reach.seen = links.x),
@@ -45,3 +45,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGIN
        CAST(coalesce(len(l), 0) AS BIGINT) AS n_items,
        sha256(coalesce(list_aggregate(l, 'string_agg', ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+LINE_DEDUP = rf"""
+WITH l AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL),
+f AS (
+  SELECT *, len(regexp_extract_all(line, '{SPACED}')) AS words,
+         md5(coalesce(lag(md5(line)) OVER w, '') || md5(line)) AS rolling,
+         coalesce(lead(len(regexp_extract_all(line, '{SPACED}'))) OVER w, 0) AS next_words, lead(i) OVER w IS NULL AS is_last
+  FROM l WINDOW w AS (PARTITION BY doc_id, text ORDER BY i)),
+e AS (SELECT *, is_last OR rolling[1] IN ('0', '1', '2', '3') OR words >= 20 OR next_words >= 20 AS cut FROM f),
+c AS (
+  SELECT *, coalesce(sum(CAST(cut AS INTEGER)) OVER (
+    PARTITION BY doc_id, text ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
+chunks AS (
+  SELECT doc_id, text, chunk, string_agg(line, chr(10) ORDER BY i) AS body,
+         count(*) FILTER (words > 0) >= 2 OR max(words) >= 20 AS counts
+  FROM c GROUP BY doc_id, text, chunk),
+marked AS (
+  SELECT *, counts AND row_number() OVER (PARTITION BY body, counts ORDER BY doc_id, chunk) > 1 AS gone FROM chunks),
+kept AS (
+  SELECT doc_id, text, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS left_over
+  FROM marked GROUP BY doc_id, text)
+SELECT doc_id, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(length(left_over) AS BIGINT) AS n_chars_left, sha256(coalesce(left_over, '')) AS text_sha256
+FROM documents LEFT JOIN kept USING (doc_id, text)"""
