@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model, sql
+from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model, quality_rules, sql, unigram_counts
 from stayglass.llm.common import table
 
 QUERIES: dict = {}
@@ -41,12 +41,23 @@ def ngram_jaccard(spark, folder):
     return jaccard_join.join_components(table(spark, folder, "documents"))
 
 
+@register("op4_token_counts")
+def unigram_token_counts(spark, folder):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return unigram_counts.token_counts(table(spark, folder, "documents"), path, ["doc_id"])
+
+
 @register("op5_byte_bpe")
 def bpe_digests(spark, folder):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])
 
 
+@register("op7_quality_rules", sql.quality_rules(quality_rules.BOILERPLATE))
+def line_first_rules(spark, folder):
+    return quality_rules.judge(table(spark, folder, "documents"))
+
+
 @register("op10_decontamination", sql.DECONTAMINATION)
 def decontamination(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

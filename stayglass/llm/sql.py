@@ -73,3 +73,36 @@ kept AS (
 SELECT doc_id, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(length(left_over) AS BIGINT) AS n_chars_left, sha256(coalesce(left_over, '')) AS text_sha256
 FROM documents LEFT JOIN kept USING (doc_id, text)"""
+
+# the line rules as SQL over a line `x`; the phrases are those of quality_rules
+_LINE_FAILS = r"""(
+    len(regexp_replace(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g'), '[\p{L}\p{N}.,;:''\-]', '', 'g')) * 100
+      >= len(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) * 25
+    OR (len(regexp_replace(x, '[^|>»]', '', 'g')) >= 2 AND n <= 8 * (len(regexp_replace(x, '[^|>»]', '', 'g')) + 1))
+    OR (n <= 20 AND (PHRASES)))"""
+
+
+def quality_rules(phrases) -> str:
+    fails = _LINE_FAILS.replace("PHRASES", " OR ".join(f"contains(lower(x), '{p}')" for p in phrases))
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, list_aggregate(w[i:i+7], 'string_agg', ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT k) AS r FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, x, len(regexp_extract_all(x, '{SPACED}')) AS n
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '{SPACED}')),
+judged AS (SELECT *, {fails} AS bad FROM lines),
+by_line AS (SELECT doc_id, x, any_value(n) AS n, count(*) AS k, bool_or(bad) AS bad FROM judged GROUP BY doc_id, x),
+lost AS (SELECT doc_id, sum(k - 1) AS dup, sum(CASE WHEN bad THEN k * n ELSE (k - 1) * n END) AS gone FROM by_line GROUP BY doc_id),
+facts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(gone, 0) AS BIGINT) AS n_lost_words
+  FROM d LEFT JOIN repeated USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * n_lost_words <= 30 * n_words AS kept
+FROM facts"""
