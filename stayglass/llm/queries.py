@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model, quality_rules, sql, unigram_counts
+from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model, quality_rules, sql, unigram_counts, url_filter
 from stayglass.llm.common import table
 
 QUERIES: dict = {}
@@ -53,6 +53,11 @@ def bpe_digests(spark, folder):
     return byte_bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])
 
 
+@register("op6_url_filter")
+def url_templates(spark, folder):
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 @register("op7_quality_rules", sql.quality_rules(quality_rules.BOILERPLATE))
 def line_first_rules(spark, folder):
     return quality_rules.judge(table(spark, folder, "documents"))
