@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from stayglass.llm.common import name_of, stored
 from stayglass.llm.components import components
+from stayglass.llm.packing import from_planes, packed_keys, planes, unpacked_keys
 from stayglass.llm.words import SPACED, mix, shingle_hashes, slices, words_of
 
 
@@ -272,7 +273,7 @@ def signatures(docs: DataFrame, text: str, hot, parts: int, s: Settings) -> Data
             rows = []
             for p in np.flatnonzero(np.diff(cuts)):
                 names, place = np.unique(who[cuts[p] : cuts[p + 1]], return_inverse=True)
-                rows.append((int(p), _packed(keys[cuts[p] : cuts[p + 1]]), _planes(place.astype("<u4")), names.astype("<i8").tobytes()))
+                rows.append((int(p), packed_keys(keys[cuts[p] : cuts[p + 1]]), planes(place.astype("<u4")), names.astype("<i8").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
                 ["part", "keys", "places", "classes"],
@@ -281,29 +282,14 @@ def signatures(docs: DataFrame, text: str, hot, parts: int, s: Settings) -> Data
     return docs.select(name_of(text)).mapInArrow(apply, "part int, keys binary, places binary, classes binary")
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte, all lowest bytes first: the high bytes are mostly zero and compress away."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
-
-
-def _from_planes(cell: bytes, kind: str) -> np.ndarray:
-    planes = np.frombuffer(cell, np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
-
-
-def _packed(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences."""
-    return _planes(np.diff(np.r_[np.zeros(1, np.uint64), keys]).astype("<u8"))
-
-
 def shared_keys(packed: DataFrame) -> DataFrame:
     """(key, class) of the keys that two classes or more have."""
 
     def match(table):
         keys, who = [], []
         for k, p, c in zip(table.column("keys").to_pylist(), table.column("places").to_pylist(), table.column("classes").to_pylist()):
-            keys.append(np.cumsum(_from_planes(k, "<u8")))
-            who.append(np.frombuffer(c, "<i8")[_from_planes(p, "<u4")])
+            keys.append(unpacked_keys(k))
+            who.append(np.frombuffer(c, "<i8")[from_planes(p, "<u4")])
         keys, who = np.concatenate(keys), np.concatenate(who)
         order = np.lexsort((who, keys))
         keys, who = keys[order], who[order]

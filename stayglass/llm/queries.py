@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model, quality_rules, sql, unigram_counts, url_filter
+from stayglass.llm import byte_bpe, decontaminate, interpolated_lm, jaccard_join, line_dedup, quality_model, quality_rules, sql, unigram_counts, url_filter
 from stayglass.llm.common import table
 
 QUERIES: dict = {}
@@ -63,6 +63,11 @@ def line_first_rules(spark, folder):
     return quality_rules.judge(table(spark, folder, "documents"))
 
 
+@register("op8_lm_scoring")
+def lm_scores(spark, folder):
+    return interpolated_lm.score(table(spark, folder, "documents"))
+
+
 @register("op10_decontamination", sql.DECONTAMINATION)
 def decontamination(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
