@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayglass.llm import byte_bpe, decontaminate, interpolated_lm, jaccard_join, line_dedup, quality_model, quality_rules, sql, unigram_counts, url_filter
+from stayglass.llm import byte_bpe, decontaminate, interpolated_lm, jaccard_join, license_scan, line_dedup, quality_model, quality_rules, sql, unigram_counts, url_filter
 from stayglass.llm.common import table
 
 QUERIES: dict = {}
@@ -68,6 +68,15 @@ def lm_scores(spark, folder):
     return interpolated_lm.score(table(spark, folder, "documents"))
 
 
+@register("op9_license_scan", sql.license_scan(license_scan.TEMPLATES))
+def licenses(spark, folder):
+    found = license_scan.scan(table(spark, folder, "documents"))
+    names = F.array_join(F.transform("matches", lambda m: m["name"]), ",")
+    shares = F.transform("matches", lambda m: F.round(m["percent"] * 100).cast("bigint"))
+    total = F.aggregate(shares, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return found.select("doc_id", "n_shingles", F.size("matches").cast("bigint").alias("n_licenses"), names.alias("licenses"), total.alias("percent_sum"))
+
+
 @register("op10_decontamination", sql.DECONTAMINATION)
 def decontamination(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

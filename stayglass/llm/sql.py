@@ -106,3 +106,29 @@ facts AS (
 SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * n_lost_words <= 30 * n_words AS kept
 FROM facts"""
+
+
+def license_scan(templates: dict[str, str]) -> str:
+    def shingles(w: str) -> str:
+        return f"list_transform(range(1, len({w}) - 3), lambda i: {w}[i] || ' ' || {w}[i+1] || ' ' || {w}[i+2] || ' ' || {w}[i+3] || ' ' || {w}[i+4])"
+
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in templates.items())
+    return f"""
+WITH t AS (SELECT name, {words} AS w FROM (VALUES {values}) AS v(name, text)),
+ts AS (SELECT name, list_distinct({shingles('w')}) AS s FROM t),
+tl AS (SELECT name, s, len(s) AS m, CAST(pow(2, ceil(log2(len(s)))) AS BIGINT) AS scale FROM ts),
+d AS (SELECT doc_id, {words} AS w FROM documents),
+ds AS (SELECT doc_id, {shingles('w')} AS s FROM d),
+scales AS (SELECT DISTINCT scale FROM tl),
+windows AS (
+  SELECT doc_id, scale, s[k+1:k+2*scale] AS items
+  FROM (SELECT doc_id, s, scale, unnest(range(0, len(s), scale)) AS k FROM ds, scales WHERE len(s) > 0)),
+found AS (
+  SELECT doc_id, name, max(round(len(list_intersect(items, tl.s)) * 100.0 / m, 4)) AS best
+  FROM windows JOIN tl ON windows.scale = tl.scale
+  WHERE len(list_intersect(items, tl.s)) * 100 >= 80 * m GROUP BY doc_id, name),
+per AS (SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names, sum(CAST(round(best * 100) AS BIGINT)) AS total FROM found GROUP BY doc_id)
+SELECT ds.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses,
+       coalesce(names, '') AS licenses, CAST(coalesce(total, 0) AS BIGINT) AS percent_sum
+FROM ds LEFT JOIN per USING (doc_id)"""
