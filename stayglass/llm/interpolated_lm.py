@@ -43,8 +43,8 @@ class Settings:
     folds: int = 5  # crc32 of the id as text, modulo this ...
     scored_fold: int = 1  # ... leaves this: only scored
     held_parts: int = 10  # one in so many training documents is held out for the weights
-    block_bytes: int = 8 << 20  # text of a block, about
-    part_bytes: int = 8 << 20  # text whose tokens a part of the key space gets, about
+    block_bytes: int = 4 << 20  # text of a block, about
+    part_bytes: int = 4 << 20  # text whose tokens a part of the key space gets, about
     steps: int = 60  # of expectation-maximisation
     least_weight: float = 1e-6
 
@@ -159,7 +159,9 @@ def totals(counted: DataFrame) -> DataFrame:
 
 def _looked_up(docs: pa.Table, answers: pa.Table):
     """Tokens' places in the block, and fit and held totals of tokens, bigrams and contexts (-1: begin of a text)."""
-    tokens, pairs, first = _tokens(docs.column("text"))
+    some = [_tokens(x.column("text")) for x in slices(docs.select(["text"]).to_batches(), "text")]  # a bounded piece of text at a time
+    tokens, pairs = (np.concatenate([x[i] for x in some]) for i in (0, 1))
+    first = np.r_[0, np.cumsum(np.concatenate([np.diff(x[2]) for x in some]))]
     out = []
     for grams, values in ((1, tokens), (2, pairs)):
         rows = answers.filter(pc.equal(answers.column("grams"), grams)).sort_by("part")
