@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayglass.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_model
-from stayglass.llm.common import stored, table
+from stayglass.llm.common import name_of, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -23,7 +23,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
     """Repeated chunks of lines go; so do documents of which they leave nothing."""
     out = line_dedup.dedup(docs)
     emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
-    return out.where(~emptied).select(docs.columns)
+    return out.where(~emptied).select(*map(name_of, docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from stayglass.llm.common import name_of
 from stayglass.llm.words import slices
 
-MOVES = 300_000  # transitions are forgotten beyond this many
-WORDS = 300_000  # words are forgotten beyond this many
-PAIRS = 500_000  # and neighbours beyond this many
+MOVES = 100_000  # transitions are forgotten beyond this many
+WORDS = 250_000  # words are forgotten beyond this many
+PAIRS = 200_000  # and neighbours beyond this many
 ROOT = 0
 
 

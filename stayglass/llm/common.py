@@ -39,3 +39,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def fold(id_column, parts: int):
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def undotted(df: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with plain names for all columns but the ``used`` ones, for functions over batches, which can't take dots
+    in names; and the names it had, to be set again by position."""
+    names = list(df.columns)
+    plain: list[str] = []
+    for c in names:
+        plain += [c] if c in used else fresh([*names, *plain], f"column_{len(plain)}")
+    return df.toDF(*plain), names

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayglass.llm.common import fresh, name_of
+from stayglass.llm.common import fresh, name_of, undotted
 from stayglass.llm.fm_index import FMIndex
 from stayglass.llm.words import ALPHANUMERIC, slices, words_of
 
 WIDTH = 10
 PART_BYTES = 16 << 20  # benchmark text in one broadcast
-SHARD_BYTES = 4 << 20  # document text in one index
+SHARD_BYTES = 2 << 20  # document text in one index
 
 
 @dataclass
@@ -194,6 +194,7 @@ def clean(
 ) -> DataFrame:
     """``docs`` without the passages: each merged span goes from its first word to its last. A document of which no
     word is left goes; the length column, where there is one, is counted again for texts that changed."""
+    docs, names = undotted(docs, text, n_chars)
     found, spans, items = scan(docs, benchmark, text, item_id, item_text, width)
 
     def cut(batches):
@@ -221,4 +222,4 @@ def clean(
                 arrays[k] = pa.array(lengths, batch.schema.field(k).type)
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names).filter(pa.array(keep))
 
-    return found.mapInArrow(cut, found.schema).drop(spans, items)
+    return found.mapInArrow(cut, found.schema).drop(spans, items).toDF(*names)

@@ -479,4 +479,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settin
     kept = groups.select(name_of(doc_id), (name_of(doc_id) == F.col("component_id")).alias("kept"))
     kept = kept.groupBy(name_of(doc_id)).agg(F.max("kept").alias("kept"))  # one row for an id
     gone = kept.where("not kept").select(name_of(doc_id))
-    return docs.join(gone, doc_id, "left_anti").select(docs.columns)
+    return docs.join(gone, doc_id, "left_anti").select(*map(name_of, docs.columns))

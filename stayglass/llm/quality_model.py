@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayglass.llm.common import fold, fresh, name_of, stored
+from stayglass.llm.common import fold, fresh, name_of, stored, undotted
 from stayglass.llm.words import WITH_SIGNS, Words, mix, slices, sums_by, words_of
 
 
@@ -232,6 +232,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
 
 def _filtered(docs: DataFrame, text: str, vectors: np.ndarray, net: Network, s: Settings) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vectors)  # its size is fixed by the settings
+    docs, names = undotted(docs, text)
 
     def keep(batches):
         for batch in slices(batches, text, 1 << 20):
@@ -239,7 +240,7 @@ def _filtered(docs: DataFrame, text: str, vectors: np.ndarray, net: Network, s:
             x = _pool(words, ids, shared.value).astype(np.float64)
             yield batch.filter(pa.array(net.scores(x) >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(keep, docs.schema).toDF(*names)
 
 
 def held_out(id_column):

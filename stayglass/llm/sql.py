@@ -121,9 +121,11 @@ tl AS (SELECT name, s, len(s) AS m, CAST(pow(2, ceil(log2(len(s)))) AS BIGINT) A
 d AS (SELECT doc_id, {words} AS w FROM documents),
 ds AS (SELECT doc_id, {shingles('w')} AS s FROM d),
 scales AS (SELECT DISTINCT scale FROM tl),
+every AS (SELECT list_distinct(flatten(list(s))) AS a FROM tl),
+some AS (SELECT doc_id, s FROM ds, every WHERE len(list_intersect(s, a)) > 0),
 windows AS (
   SELECT doc_id, scale, s[k+1:k+2*scale] AS items
-  FROM (SELECT doc_id, s, scale, unnest(range(0, len(s), scale)) AS k FROM ds, scales WHERE len(s) > 0)),
+  FROM (SELECT doc_id, s, scale, unnest(range(0, len(s), scale)) AS k FROM some, scales)),
 found AS (
   SELECT doc_id, name, max(round(len(list_intersect(items, tl.s)) * 100.0 / m, 4)) AS best
   FROM windows JOIN tl ON windows.scale = tl.scale

@@ -30,7 +30,7 @@ from stayglass.llm.common import name_of
 from stayglass.llm.words import slices
 
 SPACE = "▁"
-REMEMBERED = 300_000  # words
+REMEMBERED = 250_000  # words
 UNKNOWN_PENALTY = 10.0
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -110,7 +110,7 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -
     n = len(data)
     if not len(start):
         return np.zeros(0, np.uint64)
-    size = max(SLICE_BYTES, 1 << (n - 1).bit_length())
+    size = -(-n // SLICE_BYTES) * SLICE_BYTES  # few sizes, so that the powers are kept
     power, inverse = _powers(size)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(((LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
