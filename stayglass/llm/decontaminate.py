@@ -119,21 +119,23 @@ def covered(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(depth)[:n] > 0
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, width: int) -> tuple[DataFrame, str, str]:
-    """``docs`` with two more columns: word spans (pairs of 32-bit numbers, merged) and item ids; and their names."""
+def scan(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, width: int, finish, schema) -> DataFrame:
+    """What ``finish(batch, words, spans, items)`` makes of the documents, with ``schema``: spans are pairs of word
+    numbers of each text, merged, as 32-bit numbers; items its item ids. The last scan finishes, in the same worker."""
     spans, items = fresh(docs.columns, "spans", "items")
     out = docs.withColumns({spans: F.lit(b"").cast("binary"), items: F.array().cast("array<string>")})
     used = benchmark.where(name_of(item_id).isNotNull() & name_of(item_text).isNotNull())
     used = used.select(name_of(item_id).cast("string").alias("id"), name_of(item_text).alias("text"))
     total = used.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-total // PART_BYTES)
+    parts = max(1, -(-total // PART_BYTES))
     for part in range(parts):
         rows = used.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).collect()  # about PART_BYTES of text
-        out = _scan_part(out, [r.id for r in rows], [r.text for r in rows], text, spans, items, width)
-    return out, spans, items
+        last = part == parts - 1
+        out = _scan_part(out, [r.id for r in rows], [r.text for r in rows], text, spans, items, width, finish if last else None, schema if last else out.schema)
+    return out
 
 
-def _scan_part(docs: DataFrame, ids: list[str], texts: list[str], text: str, spans: str, items: str, width: int) -> DataFrame:
+def _scan_part(docs: DataFrame, ids: list[str], texts: list[str], text: str, spans: str, items: str, width: int, finish, schema) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(phrases_of(ids, texts, width))
 
     def add(batches):
@@ -156,9 +158,10 @@ def _scan_part(docs: DataFrame, ids: list[str], texts: list[str], text: str, spa
             lists = [sorted({*a, *b}) for a, b in zip(batch.column(items).to_pylist(), found)]
             done = {spans: pa.array(cells, pa.binary()), items: pa.array(lists, pa.list_(pa.string()))}
             names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([done.get(c, batch.column(k)) for k, c in enumerate(names)], names)
+            full = pa.RecordBatch.from_arrays([done.get(c, batch.column(k)) for k, c in enumerate(names)], names)
+            yield finish(full, words, cells, lists) if finish else full
 
-    return docs.mapInArrow(add, docs.schema)
+    return docs.mapInArrow(add, schema)
 
 
 def report(
@@ -166,27 +169,23 @@ def report(
 ) -> DataFrame:
     """Of each document: n_words, n_hit (words in occurrences), n_items, items_sha256 (ids sorted as strings, joined
     by commas), contaminated."""
-    found, spans, items = scan(docs.select(name_of(doc_id), name_of(text)), benchmark, text, item_id, item_text, width)
     schema = docs.select(name_of(doc_id)).schema
     for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
         schema = schema.add(name, kind)
 
-    def count(batches):
-        for batch in slices(batches, text, SHARD_BYTES):
-            words = words_of(batch.column(text), ALPHANUMERIC)
-            hits = [int(np.diff(np.frombuffer(x, "<i4").reshape(-1, 2)).sum()) for x in batch.column(spans).to_pylist()]
-            lists = batch.column(items).to_pylist()
-            arrays = [
-                batch.column(doc_id),
-                pa.array(words.counts.astype(np.int64)),
-                pa.array(hits, pa.int64()),
-                pa.array([len(x) for x in lists], pa.int64()),
-                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists]),
-                pa.array([n > 0 for n in hits]),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+    def count(batch, words, spans, items):
+        hits = [int(np.diff(np.frombuffer(x, "<i4").reshape(-1, 2)).sum()) for x in spans]
+        arrays = [
+            batch.column(doc_id),
+            pa.array(words.counts.astype(np.int64)),
+            pa.array(hits, pa.int64()),
+            pa.array([len(x) for x in items], pa.int64()),
+            pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
+            pa.array([n > 0 for n in hits]),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, schema.names)
 
-    return found.mapInArrow(count, schema)
+    return scan(docs.select(name_of(doc_id), name_of(text)), benchmark, text, item_id, item_text, width, count, schema)
 
 
 def clean(
@@ -195,31 +194,28 @@ def clean(
     """``docs`` without the passages: each merged span goes from its first word to its last. A document of which no
     word is left goes; the length column, where there is one, is counted again for texts that changed."""
     docs, names = undotted(docs, text, n_chars)
-    found, spans, items = scan(docs, benchmark, text, item_id, item_text, width)
-
-    def cut(batches):
-        for batch in slices(batches, text, SHARD_BYTES):
-            words = words_of(batch.column(text), ALPHANUMERIC)
-            keep, texts, lengths = np.ones(batch.num_rows, bool), batch.column(text).to_pylist(), None
-            if n_chars in batch.schema.names:
-                lengths = batch.column(n_chars).to_pylist()
-            for i, cell in enumerate(batch.column(spans).to_pylist()):
-                if not cell:
-                    continue
-                pairs = np.frombuffer(cell, "<i4").reshape(-1, 2) + words.first[i]
-                keep[i] = np.diff(pairs).sum() < words.counts[i]
-                raw, at, out = texts[i].encode(), 0, []
-                for a, b in pairs.tolist():
-                    out.append(raw[at : words.start[a] - words.text_start[i]])
-                    at = int(words.end[b - 1] - words.text_start[i])
-                texts[i] = b"".join([*out, raw[at:]]).decode()
-                if lengths is not None:
-                    lengths[i] = len(texts[i])
-            arrays = [batch.column(k) for k in range(batch.num_columns)]
-            arrays[batch.schema.names.index(text)] = pa.array(texts, pa.string())
+    columns = docs.columns
+
+    def cut(batch, words, spans, items):
+        keep, texts, lengths = np.ones(batch.num_rows, bool), batch.column(text).to_pylist(), None
+        if n_chars in batch.schema.names:
+            lengths = batch.column(n_chars).to_pylist()
+        for i, cell in enumerate(spans):
+            if not cell:
+                continue
+            pairs = np.frombuffer(cell, "<i4").reshape(-1, 2) + words.first[i]
+            keep[i] = np.diff(pairs).sum() < words.counts[i]
+            raw, at, out = texts[i].encode(), 0, []
+            for a, b in pairs.tolist():
+                out.append(raw[at : words.start[a] - words.text_start[i]])
+                at = int(words.end[b - 1] - words.text_start[i])
+            texts[i] = b"".join([*out, raw[at:]]).decode()
             if lengths is not None:
-                k = batch.schema.names.index(n_chars)
-                arrays[k] = pa.array(lengths, batch.schema.field(k).type)
-            yield pa.RecordBatch.from_arrays(arrays, batch.schema.names).filter(pa.array(keep))
-
-    return found.mapInArrow(cut, found.schema).drop(spans, items).toDF(*names)
+                lengths[i] = len(texts[i])
+        arrays = [batch.column(c) for c in columns]
+        arrays[columns.index(text)] = pa.array(texts, pa.string())
+        if lengths is not None:
+            arrays[columns.index(n_chars)] = pa.array(lengths, batch.schema.field(n_chars).type)
+        return pa.RecordBatch.from_arrays(arrays, columns).filter(pa.array(keep))
+
+    return scan(docs, benchmark, text, item_id, item_text, width, cut, docs.schema).toDF(*names)
