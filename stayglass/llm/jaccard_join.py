@@ -345,7 +345,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, s: Sett
     """(class, n, b0 to b3, parity): size, 256 parity bits, and a parity bit for each shingle or more."""
 
     def columns(sets):
-        small = np.array([np.frombuffer(_parity(x, 256), "<i8") for x in sets]).reshape(len(sets), 4)
+        small = np.array([np.frombuffer(_parity(x, 256), "<i8") for x in sets], np.int64).reshape(len(sets), 4)
         wide = [_parity(x, max(256, 1 << (len(x) - 1).bit_length())) for x in sets]
         return [pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.ascontiguousarray(small[:, i])) for i in range(4)), pa.array(wide, pa.binary())]
 
