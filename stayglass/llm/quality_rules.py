@@ -20,14 +20,17 @@ Defined results: a null text is an empty one (no words, base_failed, not kept);
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayglass.llm.common import name_of
 
-WORD = r"[^\x20\x09-\x0D]+"
-GAPS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+GAPS = "\t\n\x0b\x0c\r"  # beside the blank
+NOT_SYMBOLS = r"[^#*$%&|<>]+"
+PLAIN = r"[\p{L}\p{N}.,;:'\-\x20\x09-\x0D]+"
+BARS = "|>»"
 
 # Phrases of boilerplate lines.
 BOILERPLATE = (
@@ -39,13 +42,18 @@ BOILERPLATE = (
 LIMITS = {"sign_percent": 25, "short_words": 20, "lost_percent": 30, "least_words": 20, "repeat_percent": 30, "window": 8}
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-
-
 def without(text: Column, characters: str) -> Column:
     """Text without the characters."""
-    return F.translate(text, characters, "")
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
+def words_of(text: Column) -> Column:
+    """Words in order. Other gaps become blanks first: a split at one blank needs no pattern."""
+    for gap in GAPS:
+        text = F.replace(text, F.lit(gap), F.lit(" "))
+    return F.array_remove(F.split(text, " ", -1), "")
 
 
 def with_value(value: Column, use) -> Column:
@@ -78,76 +86,105 @@ def repeated_words(words: Column, window: int) -> Column:
 
     hashes = with_value(
         F.transform(words, lambda w: F.xxhash64(w)),
-        lambda own: F.slice(F.transform(own, lambda h, i: F.xxhash64(h, *(F.get(own, i + k) for k in range(1, window)))), 1, n),
+        lambda own: F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(own, i, F.lit(window)))),
     )
     return F.when(n < 2, F.lit(0).cast("bigint")).otherwise(with_value(hashes, count))
 
 
-def line_facts(lines: Column, limits: dict[str, int]) -> Column:
-    """Of each line: x, n (words) and bad (whether it fails for itself). Cheap conditions stand first."""
-    phrases = "|".join(BOILERPLATE)
+def lines_of(text: Column) -> Column:
+    """(x, w) of the lines with words: the line and its words."""
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("x"), words_of(x).alias("w")))
+    return F.filter(lines, lambda r: F.size(r["w"]) > 0)
+
+
+def all_words(lines: Column) -> Column:
+    return F.flatten(F.transform(lines, lambda r: r["w"]))
+
+
+def fails(line: Column, words: Column, limits: dict[str, int]) -> Column:
+    """Whether a line fails for itself; what is cheap or seldom true stands first."""
+    n = F.size(words)
 
-    def facts(line: Column) -> Column:
-        def judged(f: Column) -> Column:
-            signs = F.length(F.regexp_replace(f["seen"], r"[\p{L}\p{N}.,;:'\-]+", "")) * 100 >= F.length(f["seen"]) * limits["sign_percent"]
-            navigation = (f["bars"] >= 2) & (f["n"] <= 8 * (f["bars"] + 1))
-            boilerplate = (f["n"] <= limits["short_words"]) & F.lower(f["x"]).rlike(phrases)
-            return F.struct(f["x"].alias("x"), f["n"].alias("n"), (navigation | boilerplate | signs).alias("bad"))
+    def mostly(signs: Column) -> Column:
+        return (signs > 0) & (signs * 100 >= F.length(F.array_join(words, "")) * limits["sign_percent"])
 
-        bars = F.length(line) - F.length(without(line, "|>»"))
-        return with_value(
-            F.struct(line.alias("x"), F.size(words_of(line)).alias("n"), without(line, GAPS).alias("seen"), bars.alias("bars")), judged
-        )
+    def phrase(low: Column) -> Column:
+        return reduce(lambda a, b: a | b, (F.contains(low, F.lit(p)) for p in BOILERPLATE))
 
-    return F.transform(lines, facts)
+    some = reduce(lambda a, b: a | b, (F.contains(line, F.lit(c)) for c in BARS))
+    navigation = some & with_value(F.length(line) - F.length(without(line, BARS)), lambda k: (k >= 2) & (n <= 8 * (k + 1)))
+    boilerplate = (n <= limits["short_words"]) & with_value(F.lower(line), phrase)
+    return navigation | boilerplate | with_value(F.length(F.regexp_replace(line, PLAIN, "")), mostly)
 
 
-def removed_words(lines: Column, limits: dict[str, int]) -> Column:
-    """Words of the lines that fail or repeat an earlier one. ``lines``: those with words."""
+def good_lines(lines: Column, limits: dict[str, int]) -> Column:
+    return F.filter(lines, lambda r: ~fails(r["x"], r["w"], limits))
 
-    def total(rows: Column) -> Column:
-        return F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + r["n"])
 
-    def lost(rows: Column) -> Column:
-        return total(rows) - total(F.array_distinct(F.filter(rows, lambda r: ~r["bad"])))
+def texts_of(lines: Column) -> Column:
+    return F.transform(lines, lambda r: r["x"])
 
-    return with_value(line_facts(lines, limits), lost)
 
+def lost_words(lines: Column, n_words: Column, limits: dict[str, int]) -> Column:
+    """Words of the lines that fail or repeat an earlier one."""
 
-def cleaned(lines: Column, limits: dict[str, int]) -> Column:
-    """The lines that stay, joined; ``lines`` as above."""
-    good = F.filter(line_facts(lines, limits), lambda r: ~r["bad"])
-    return F.array_join(F.transform(F.array_distinct(good), lambda r: r["x"]), "\n")
+    def lost(good: Column) -> Column:
+        def kept(once: Column) -> Column:
+            total = F.aggregate(good, F.lit(0).cast("bigint"), lambda a, r: a + F.size(r["w"]))
+            # words of each different line anew, where lines repeat
+            return F.when(F.size(once) == F.size(good), total).otherwise(F.aggregate(once, F.lit(0).cast("bigint"), lambda a, x: a + F.size(words_of(x))))
+
+        return n_words - with_value(F.array_distinct(texts_of(good)), kept)
+
+    return with_value(good_lines(lines, limits), lost)
+
+
+def text_facts(lines: Column, limits: dict[str, int]) -> Column:
+    """n (words), chars (in words), r (words in repeated windows), dup (repeated lines), lost (words)."""
+
+    def facts(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        return F.struct(
+            n.alias("n"), F.length(F.array_join(words, "")).cast("bigint").alias("chars"), repeated_words(words, limits["window"]).alias("r"),
+            (F.size(lines) - F.size(F.array_distinct(texts_of(lines)))).cast("bigint").alias("dup"), lost_words(lines, n, limits).alias("lost"),
+        )
+
+    return with_value(all_words(lines), facts)
+
+
+def passes(facts: Column, limits: dict[str, int]) -> tuple[Column, Column]:
+    """(base_failed, kept) from the facts."""
+    n = facts["n"]
+    failed = (n < limits["least_words"]) | (100 * facts["r"] > limits["repeat_percent"] * n)
+    return failed, ~failed & (100 * facts["lost"] <= limits["lost_percent"] * n)
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits: int) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words)."""
     limits = {**LIMITS, **limits}
     rows = docs.select(name_of(doc_id).alias("id"), F.coalesce(name_of(text), F.lit("")).alias("t"))
-    words = words_of(F.col("t"))
-    lines = F.filter(F.split("t", "\n", -1), lambda x: F.length(without(x, GAPS)) > 0)
     counted = rows.select(
         "id",
-        with_value(words, lambda w: F.struct(F.size(w).cast("bigint").alias("n"), repeated_words(w, limits["window"]).alias("r"))).alias("w"),
-        F.length(without(F.col("t"), GAPS)).cast("bigint").alias("word_chars"),
-        (F.length("t") - F.length(without(F.col("t"), SYMBOLS))).cast("bigint").alias("n_symbols"),
-        with_value(
-            lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("dup"), removed_words(x, limits).alias("lost"))
-        ).alias("l"),
+        F.length(F.regexp_replace("t", NOT_SYMBOLS, "")).cast("bigint").alias("n_symbols"),
+        with_value(lines_of(F.col("t")), lambda lines: text_facts(lines, limits)).alias("f"),
     )
-    n, repeated = F.col("w.n"), F.col("w.r")
-    failed = (n < limits["least_words"]) | (100 * repeated > limits["repeat_percent"] * n)
+    failed, kept = passes(F.col("f"), limits)
     return counted.select(
-        F.col("id").alias(doc_id), n.alias("n_words"), "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), repeated.alias("n_repeat_words"),
-        failed.alias("base_failed"), (~failed & (100 * F.col("l.lost") <= limits["lost_percent"] * n)).alias("kept"), F.col("l.lost").alias("n_lost_words"),
+        F.col("id").alias(doc_id), F.col("f.n").alias("n_words"), F.col("f.chars").alias("word_chars"), "n_symbols", F.col("f.dup").alias("n_dup_lines"),
+        F.col("f.r").alias("n_repeat_words"), failed.alias("base_failed"), kept.alias("kept"), F.col("f.lost").alias("n_lost_words"),
     )
 
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits: int) -> DataFrame:
     """(doc_id, text) of the kept documents, without the removed lines."""
     use = {**LIMITS, **limits}
-    rows = docs.select(name_of(doc_id).alias(doc_id), name_of(text).alias(text))
-    lines = F.filter(F.split(F.coalesce(name_of(text), F.lit("")), "\n", -1), lambda x: F.length(without(x, GAPS)) > 0)
-    n = F.size(words_of(F.coalesce(name_of(text), F.lit(""))))
-    kept = ~((n < use["least_words"]) | (100 * repeated_words(words_of(name_of(text)), use["window"]) > use["repeat_percent"] * n))
-    return rows.where(kept & (100 * removed_words(lines, use) <= use["lost_percent"] * n)).withColumn(text, cleaned(lines, use))
+    rows = docs.select(name_of(doc_id).alias(doc_id), F.coalesce(name_of(text), F.lit("")).alias(text))
+
+    def judged(lines: Column) -> Column:
+        def result(facts: Column) -> Column:
+            left = F.array_join(F.array_distinct(texts_of(good_lines(lines, use))), "\n")
+            return F.when(passes(facts, use)[1], left)
+
+        return with_value(text_facts(lines, use), result)
+
+    return rows.withColumn(text, with_value(lines_of(name_of(text)), judged)).where(name_of(text).isNotNull())
