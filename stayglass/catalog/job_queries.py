@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stayglass import fixed_values as fv
 from stayglass.catalog.join_queries import ENRICHED
-from stayglass.catalog.model_queries import FEATURES, SMALL_FOREST, SMALL_LABEL_FOREST, model_rows
+from stayglass.catalog.model_queries import FEATURES, model_rows
 from stayglass.catalog.profile_queries import MOMENTS
 from stayglass.catalog.registry import (
     HOLIDAYS, STAYS, WEATHER, bucket_sql, case_sql, miles, rd, register, stay_features_sql, tidy,
@@ -216,6 +216,6 @@ def job_profile(spark, folder):
 def job_train(spark, folder):
     data = model_rows(spark, folder)
     fit_rows, val = data.where("split = 'train'").drop("split"), data.where("split = 'val'").drop("split")
-    specs = [*train.BASELINES[:2], SMALL_FOREST, SMALL_LABEL_FOREST]
+    specs = [*train.BASELINES, *train.ADVANCED]
     board, _ = train.compare(specs, fit_rows, val, FEATURES, "log_price", "price")
     return tidy(board)

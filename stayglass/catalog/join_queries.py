@@ -38,17 +38,12 @@ SELECT checkin, days_from_checkin, segment, count(*) AS pairs, count(DISTINCT ev
        {rd('sum(score)', 2)} AS score
 FROM pairs GROUP BY checkin, days_from_checkin, segment""")
 def interval_join(spark, folder):
-    # equal date ranges and equal (day, segment) meet once, with their row counts
-    ranges = t.stays(spark, folder).groupBy("checkin", "checkout").agg(F.count(F.lit(1)).alias("stays"))
-    daily = t.city_events(spark, folder).groupBy("day", "segment").agg(
-        F.count(F.lit(1)).alias("events"), F.sum("score").alias("score")
-    )
-    pairs = j.interval_join(ranges, daily, "checkin", "checkout", "day", ["checkin", "checkout"])
+    stays = t.stays(spark, folder).select("stay_id", "checkin", "checkout")
+    events = t.city_events(spark, folder).select("event_id", "day", "segment", "score")
+    pairs = j.interval_join(stays, events, "checkin", "checkout", "day", ["stay_id"])
     return tidy(
         pairs.groupBy("checkin", "days_from_checkin", "segment").agg(
-            F.sum(F.col("stays") * F.col("events")).alias("pairs"),
-            F.max("events").alias("events"),
-            F.sum(F.col("stays") * F.col("score")).alias("score"),
+            F.count(F.lit(1)).alias("pairs"), F.count_distinct("event_id").alias("events"), F.sum("score").alias("score")
         ), 2,
     )
 

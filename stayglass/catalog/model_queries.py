@@ -81,16 +81,15 @@ FEATURES = ["l_quantity", "l_discount", "l_tax", "brand_size", "l_returnflag", "
 
 
 def model_rows(spark, folder):
-    """Priced line items with a few features of each kind, split by hash of the line."""
+    """Priced line items with a few features of each kind, in exact parts of 60, 20 and 20 %."""
     priced = t.table(spark, folder, "lineitem").select(
         F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("string"))).alias("key"),
         "l_quantity", "l_discount", "l_tax", (F.col("l_partkey") % 50).alias("brand_size"), "l_returnflag",
         (F.col("l_tax") > 0.04).alias("dear"),
         F.col("l_extendedprice").alias("price"), F.log1p("l_extendedprice").alias("log_price"),
     )
-    # three parts by hash; training repeats scans, so the parts are written once
-    part = F.conv(F.substring("key", 1, 2), 16, 10).cast("int")
-    parted = priced.withColumn("split", F.when(part < 154, "train").when(part < 205, "val").otherwise("test"))
+    # training repeats scans, so the parts are written once
+    parted = splits.random_split(priced, "key")
     stored = work_path(spark, "model-rows")
     parted.write.partitionBy("split").parquet(stored)
     return spark.read.parquet(stored)
@@ -112,28 +111,14 @@ def train_linear(spark, folder):
     return _report(spark, folder, tr.BASELINES[:4])
 
 
-def _small_forest(df, label):
-    return tr.forest(df, label).setNumTrees(5).setMaxDepth(6)
-
-
-SMALL_FOREST = tr.ModelSpec("Random Forest", _small_forest)
-SMALL_LABEL_FOREST = tr.ModelSpec("Enhanced Random Forest", _small_forest, "label", "Advanced")
-
-
 @register("train_forest")
 def train_forest(spark, folder):
-    return _report(spark, folder, [SMALL_FOREST, SMALL_LABEL_FOREST])
+    return _report(spark, folder, [tr.BASELINES[4], tr.ADVANCED[0]])
 
 
 @register("train_gbt")
 def train_gbt(spark, folder):
-    train, val = _parts(spark, folder)
-    prep = tr.preprocess(train, FEATURES, "label")
-    held = train.withColumn("_held", F.lit(False)).unionByName(val.withColumn("_held", F.lit(True)))
-    gbt = tr.boosted_trees(train, "log_price", rounds=8, validation="_held")
-    model = tr.Pipeline(stages=[*prep.stages, gbt]).fit(held)
-    spec = tr.ModelSpec("Gradient Boosting", tr.boosted_trees, "label", "Advanced")
-    return tidy(tr.leaderboard(tr.model_report(spec, model, train, val, "log_price", "price")))
+    return _report(spark, folder, [tr.ADVANCED[1]])
 
 
 @register("score_predictions")
@@ -161,15 +146,14 @@ def model_roundtrip(spark, folder):
 @register("cross_validate")
 def cross_validate(spark, folder):
     data = model_rows(spark, folder).where("split <> 'test'").drop("split")
-    position = F.conv(F.substring("key", 1, 12), 16, 10).cast("bigint")
-    folded = ranks.contiguous_folds(data.withColumn("position", position), "position", 3)
+    folded = ranks.contiguous_folds(ranks.global_row_number(data, ["key"], "position"), "position", 3)
     return tidy(tr.cross_validate(tr.BASELINES[0], files.stored(folded, "folds"), FEATURES, "log_price", "fold"))
 
 
 @register("feature_importance")
 def feature_importance(spark, folder):
     train, _ = _parts(spark, folder)
-    model, names = tr.fit(SMALL_FOREST, train, FEATURES, "log_price")
+    model, names = tr.fit(tr.BASELINES[4], train, FEATURES, "log_price")
     return tidy(tr.feature_importance(model, names, train))
 
 

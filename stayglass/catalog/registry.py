@@ -56,11 +56,11 @@ stays AS (
 
 CITY_EVENTS = """
 city_events AS (
-  SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR))) AS event_id,
+  SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR))) AS event_id,
          CAST(l_shipdate AS DATE) AS day, l_quantity * 0.25::DOUBLE AS score, l_returnflag AS segment,
          43.60::DOUBLE + CAST(l_partkey % 120 AS DOUBLE) * 0.001::DOUBLE AS event_lat,
          -79.50::DOUBLE + CAST(l_suppkey % 100 AS DOUBLE) * 0.001::DOUBLE AS event_lon
-  FROM lineitem WHERE l_linenumber = 1)"""
+  FROM lineitem)"""
 
 WEATHER = """
 weather AS (

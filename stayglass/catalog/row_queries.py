@@ -169,12 +169,12 @@ def plausibility_check(spark, folder):
 
 
 @register("iqr_outliers", """
-WITH x AS (SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice AS price FROM lineitem),
+WITH x AS (SELECT event_id, user_id, event_type, value AS price FROM events),
 q AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM x)
 SELECT x.* FROM x, q WHERE price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)""")
 def iqr_outliers(spark, folder):
-    lines = t.table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("price"))
-    return rows.outliers(lines, "price")
+    events = t.table(spark, folder, "events").select("event_id", "user_id", "event_type", F.col("value").alias("price"))
+    return rows.outliers(events, "price")
 
 
 @register("fill_missing_distance", f"""

@@ -50,3 +50,12 @@ def month_bounds(day: Column) -> dict[str, Column]:
 def days_between(start: Column, end: Column) -> Column:
     """Array of the days of the half-open range ``[start, end)``; null when it holds none."""
     return F.when(end > start, F.sequence(start, F.date_sub(end, 1)))
+
+
+def days_within(start: Column, end: Column, bounds: Column) -> Column:
+    """``days_between`` cut to the closed range (lo, hi) of ``bounds``; null bounds leave no day.
+
+    A far-off end, such as 9999-12-31, then lists no more days than the other side has.
+    """
+    cut = days_between(F.greatest(start, bounds["lo"]), F.least(end, F.date_add(bounds["hi"], 1)))
+    return F.when(start.isNotNull() & end.isNotNull() & bounds["lo"].isNotNull(), cut)

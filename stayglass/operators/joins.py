@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayglass.functions import geo
-from stayglass.functions.dates import days_between
+from stayglass.functions.dates import days_within
 from stayglass.operators.profile import pearson
 
 # pairs one task may produce for one day before the day is split further
@@ -37,6 +37,11 @@ def join_weather(stays: DataFrame, weather: DataFrame, checkin: str, day: str,
     return stays.join(weather, F.col(checkin) == F.col("_weather_day"), "left").drop("_weather_day")
 
 
+def day_bounds(df: DataFrame, day: str) -> Column:
+    """Scalar: first (lo) and last (hi) day of the rows."""
+    return df.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+
+
 def interval_join(left: DataFrame, right: DataFrame, start: str, end: str, day: str,
                   spread: Sequence[str], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """Rows of both sides with ``start <= day < end``, plus ``days_from_checkin``.
@@ -46,11 +51,13 @@ def interval_join(left: DataFrame, right: DataFrame, start: str, end: str, day:
     into slices by a hash of the ``spread`` columns of the left side, and the right rows of that
     day are repeated per slice: no day has to fit in one task.
     """
+    dated = right.where(F.col(day).isNotNull())
     by_day = (
-        left.withColumn("_day", F.explode(days_between(F.col(start), F.col(end))))
+        left.withColumn("_bounds", day_bounds(dated, day))
+        .withColumn("_day", F.explode(days_within(F.col(start), F.col(end), F.col("_bounds"))))
+        .drop("_bounds")
         .withColumn("days_from_checkin", F.datediff("_day", start).cast("bigint"))
     )
-    dated = right.where(F.col(day).isNotNull())
     # one row per hot calendar day: a date column bounds this to a few MB at the very worst
     hot = (
         by_day.groupBy("_day").agg(F.count(F.lit(1)).alias("_l"))

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayglass import fixed_values as fv
-from stayglass.functions.dates import days_between
-from stayglass.operators.joins import interval_join, rounded_km
+from stayglass.functions.dates import days_within
+from stayglass.operators.joins import day_bounds, interval_join, rounded_km
 
 STAY = {"checkin": "checkin", "checkout": "checkout", "lat": "lat", "lon": "lon"}
 EVENT = {"day": "day", "score": "score", "segment": "segment", "lat": "event_lat", "lon": "event_lon"}
@@ -64,8 +64,11 @@ def date_features(stays: DataFrame, events: DataFrame, stay: Mapping[str, str] =
         F.sum(event["score"]).alias("_sum"),
         F.max(event["score"]).alias("_max"),
     )
-    ranges = stays.select(ci, co).distinct().withColumn(
-        "_day", F.explode(days_between(F.col(ci), F.col(co)))
+    ranges = (
+        stays.select(ci, co).distinct()
+        .withColumn("_bounds", day_bounds(events, event["day"]))
+        .withColumn("_day", F.explode(days_within(F.col(ci), F.col(co), F.col("_bounds"))))
+        .drop("_bounds")
     )
     offset = F.datediff("_day", ci).cast("bigint")
     per_segment = ranges.join(per_day, "_day").groupBy(ci, co, "_segment").agg(

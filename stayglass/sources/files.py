@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -50,14 +52,19 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...] | None:
         return None
     if not line or not line.strip():
         return None
-    return tuple(name.strip().strip('"') for name in line.lstrip("\ufeff").split(","))
+    names = tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")])))
+    if len(set(names)) < len(names):
+        raise ValueError(f"{path} has a column name twice")
+    return names
 
 
-def scan_drifting_csv(spark: SparkSession, pattern: str, provenance: str | None = None) -> DataFrame:
+def scan_drifting_csv(spark: SparkSession, pattern: str, provenance: str | None = None,
+                      skipped: list[str] | None = None) -> DataFrame:
     """All files of a glob as text columns, united by column name.
 
     Spark maps CSV columns by position, so files are grouped by their header line and each group
-    is one distributed scan. Only first lines pass through the driver, many at a time.
+    is one distributed scan. Only first lines pass through the driver, many at a time. Files that
+    cannot be read or are empty go to ``skipped``; without such a list a warning names them.
     """
     paths = list_files(spark, pattern)
     with ThreadPoolExecutor(32) as pool:
@@ -66,6 +73,11 @@ def scan_drifting_csv(spark: SparkSession, pattern: str, provenance: str | None
     for path, header in zip(paths, headers):
         if header:
             groups.setdefault(header, []).append(path)
+    left_out = [path for path, header in zip(paths, headers) if not header]
+    if skipped is not None:
+        skipped += left_out
+    elif left_out:
+        warnings.warn(f"not read: {', '.join(left_out)}", stacklevel=2)
     if not groups:
         raise FileNotFoundError(f"no readable CSV file matches {pattern}")
     frames = []
@@ -129,7 +141,8 @@ def replace_table(df: DataFrame, path: str, copy_to: str | None = None) -> str:
     """Replace a table the frame may be read from, optionally keeping a copy elsewhere.
 
     The new rows go to a sibling path first and are swapped in once complete; the old files move
-    aside, so a failure at any point leaves one whole table.
+    aside. If a move fails the old files go back and an error is raised; between the two moves the
+    table stands under its ``.old`` name alone.
     """
     spark = df.sparkSession
     staged, retired = f"{path}.new", f"{path}.old"
@@ -140,8 +153,12 @@ def replace_table(df: DataFrame, path: str, copy_to: str | None = None) -> str:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
     if fs.exists(target):
         fs.delete(jvm_path(retired), True)
-        fs.rename(target, jvm_path(retired))
-    fs.rename(jvm_path(staged), target)
+        if not fs.rename(target, jvm_path(retired)):
+            raise OSError(f"cannot move {path} aside; the new rows are in {staged}")
+    if not fs.rename(jvm_path(staged), target):
+        if fs.exists(jvm_path(retired)):
+            fs.rename(jvm_path(retired), target)
+        raise OSError(f"cannot move {staged} to {path}")
     spark.catalog.refreshByPath(path)
     return path
 

@@ -40,11 +40,11 @@ def stays(spark: SparkSession, folder: str, district: bool = False) -> DataFrame
 
 
 def city_events(spark: SparkSession, folder: str) -> DataFrame:
-    """One event per first line item."""
-    lines = table(spark, folder, "lineitem").where("l_linenumber = 1")
+    """One event per line item."""
+    lines = table(spark, folder, "lineitem")
     day = F.to_date("l_shipdate")
     return lines.select(
-        F.md5(F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", day.cast("string"))).alias("event_id"),
+        F.md5(F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", day.cast("string"))).alias("event_id"),
         day.alias("day"),
         (F.col("l_quantity") * F.lit(0.25)).alias("score"),
         F.col("l_returnflag").alias("segment"),
