@@ -179,3 +179,15 @@ def test_plans_have_no_nested_loops_or_python(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_far_checkout_and_values_that_do_not_fit(spark):
+    from stayglass.operators.columns import coerce
+    from stayglass.operators.joins import interval_join
+
+    stay = spark.sql("SELECT 1 AS k, DATE'2024-01-01' AS a, DATE'9999-12-31' AS b UNION ALL SELECT 2, NULL, DATE'2024-01-05'")
+    day = spark.sql("SELECT DATE'2024-01-03' AS d, 7 AS v")
+    got = interval_join(stay, day, "a", "b", "d", ["k"]).collect()
+    assert [(r.k, r.v, r.days_from_checkin) for r in got] == [(1, 7, 2)]
+    odd = spark.sql("SELECT explode(array(1e30D, double('NaN'), 3D)) AS x")
+    assert [r.x for r in coerce(odd, {"x": "bigint"}).collect()] == [None, None, 3]

@@ -3,8 +3,8 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 import pytest
+from pyspark.sql import functions as F
 
 from stayglass.plans import combine, fix_distances
 from stayglass.plans import transform as tp
@@ -159,3 +159,21 @@ def test_stream_daily_counts_equal_batch(spark):
         batch[t.date()] = batch.get(t.date(), 0) + 1
     last = data[-1][0].date()
     assert got == {d: n for d, n in batch.items() if d < last}
+
+
+def test_header_with_quoted_comma_and_a_name_twice(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('name,"price, usd",city\nInn,12,Rome\n')
+    row = files.scan_drifting_csv(spark, str(path)).first()
+    assert row.asDict() == {"name": "Inn", "price, usd": "12", "city": "Rome"}
+    path.write_text("a,a\n1,2\n")
+    with pytest.raises(ValueError):
+        files.header_of(spark, str(path))
+
+
+def test_files_left_out_are_named(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    (tmp_path / "b.csv").write_text("")
+    skipped = []
+    assert files.scan_drifting_csv(spark, f"{tmp_path}/*.csv", skipped=skipped).count() == 1
+    assert [s.rpartition("/")[2] for s in skipped] == ["b.csv"]
