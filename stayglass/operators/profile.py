@@ -258,8 +258,7 @@ def boxplot_stats(df: DataFrame, category: str, value: str, k: int = 10) -> Data
     boxes = exact_quantiles(top, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [category])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)
-    # one row per top category, k at most
-    return top.join(F.broadcast(boxes), category).groupBy(category, "q1", "median", "q3").agg(
+    return top.join(boxes, category).groupBy(category, "q1", "median", "q3").agg(
         F.count(value).alias("n"),
         F.min(F.when(inside, F.col(value))).alias("low_whisker"),
         F.max(F.when(inside, F.col(value))).alias("high_whisker"),

@@ -47,10 +47,11 @@ def order_hash(column: Column, seed: int) -> Column:
 
 
 def hash_cut(hashes: DataFrame, size_of: Callable[[Column], Column]) -> Column:
-    """Scalar: the hash at zero-based rank ``size_of(total)``; null when that is past the end.
+    """Literal: the hash at zero-based rank ``size_of(total)``; null when that is past the end.
 
     ``hashes`` has one hex text column ``h``, distinct per row. Counting by the first four digits
-    finds the one slice in 65,536 that holds the rank; only that slice is sorted.
+    finds the one slice in 65,536 that holds the rank; only that slice is sorted. The one value is
+    read back here, so plans that use it don't scan the hashes again.
     """
     digits = hashes.select("h", F.substring("h", 1, 4).alias("_slice"))
     # 65,536 rows at most
@@ -62,13 +63,14 @@ def hash_cut(hashes: DataFrame, size_of: Callable[[Column], Column]) -> Column:
     )
     target = slices.where("_start <= _rank AND _rank < _start + _n")
     position = F.row_number().over(Window.partitionBy("_slice").orderBy("h")) - 1 + F.col("_start")
-    return (
+    found = (
         digits.join(F.broadcast(target), "_slice")
         .withColumn("_position", position)
         .where("_position = _rank")
-        .agg(F.max("h").alias("cut"))
-        .scalar()
+        .agg(F.max("h"))
+        .first()
     )
+    return F.lit(found[0]).cast("string")
 
 
 def contiguous_folds(df: DataFrame, order: str, folds: int, name: str = "fold") -> DataFrame:

@@ -124,8 +124,8 @@ def top_categories(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def in_top_categories(df: DataFrame, column: str, k: int) -> DataFrame:
-    """Rows whose category is among the k most frequent (at most k rows are broadcast)."""
-    return df.join(F.broadcast(top_categories(df, column, k).select(quoted(column))), column, "left_semi")
+    """Rows whose category is among the k most frequent."""
+    return df.join(top_categories(df, column, k).select(quoted(column)), column, "left_semi")
 
 
 def collapse_to_top(df: DataFrame, column: str, k: int, result: str, other: str = "other") -> DataFrame:

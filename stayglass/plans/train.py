@@ -237,6 +237,17 @@ def cross_validate(spec: ModelSpec, df: DataFrame, features: Sequence[str], labe
     return union_by_name(*parts)
 
 
+def cross_validate_best(board: DataFrame, specs: Sequence[ModelSpec], df: DataFrame, features: Sequence[str], label: str,
+                        fold: str, folds: int = 3, best: int = 3) -> DataFrame:
+    """Mean and population deviation of the folds' R2 for the ``best`` models of a leaderboard, highest mean first."""
+    names = [row["model"] for row in board.orderBy(F.desc("val_r2"), "model").limit(best).select("model").collect()]
+    chosen = [spec for spec in specs if spec.name in names]
+    scores = union_by_name(*[cross_validate(spec, df, features, label, fold, folds) for spec in chosen])
+    return scores.groupBy("model").agg(
+        F.count("r2_log").alias("folds"), F.avg("r2_log").alias("mean_r2"), F.stddev_pop("r2_log").alias("std_r2")
+    ).orderBy(F.desc("mean_r2"), "model")
+
+
 def feature_importance(model: PipelineModel, names: Sequence[str], df: DataFrame) -> DataFrame:
     """Importances of a tree model, largest first; one row per vector entry."""
     values = model.stages[-1].featureImportances.toArray()

@@ -121,3 +121,18 @@ def test_cross_validation(data):
     folded = train.withColumn("fold", (F.col("i") % 3).cast("bigint"))
     scores = tr.cross_validate(tr.BASELINES[0], folded, FEATURES, "y", "fold").collect()
     assert [r["fold"] for r in scores] == [0, 1, 2] and all(r["r2_log"] > 0.99 for r in scores)
+
+
+def test_cross_validation_of_the_best(data):
+    train, val = data
+    specs = tr.BASELINES[:3]
+    board, _ = tr.compare(specs, train, val, FEATURES, "y", "price")
+    folded = train.withColumn("fold", (F.col("i") % 3).cast("bigint"))
+    got = tr.cross_validate_best(board, specs, folded, FEATURES, "y", "fold", best=2).collect()
+    assert [r["model"] for r in got] == sorted((r["model"] for r in got), key=lambda m: [-r["mean_r2"] for r in got if r["model"] == m])
+    assert {r["model"] for r in got} == {r["model"] for r in board.limit(2).collect()}
+    single = [r["r2_log"] for r in tr.cross_validate(specs[0], folded, FEATURES, "y", "fold").collect()]
+    mine = next(r for r in got if r["model"] == specs[0].name)
+    mean = sum(single) / 3
+    assert mine["folds"] == 3 and mine["mean_r2"] == pytest.approx(mean)
+    assert mine["std_r2"] == pytest.approx((sum((x - mean) ** 2 for x in single) / 3) ** 0.5)
