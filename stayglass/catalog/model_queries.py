@@ -150,6 +150,17 @@ def cross_validate(spark, folder):
     return tidy(tr.cross_validate(tr.BASELINES[0], files.stored(folded, "folds"), FEATURES, "log_price", "fold"))
 
 
+@register("cross_validate_best")
+def cross_validate_best(spark, folder):
+    """The best three of the linear models, by the exact split's validation part."""
+    data = model_rows(spark, folder)
+    train, val = data.where("split = 'train'").drop("split"), data.where("split = 'val'").drop("split")
+    board, _ = tr.compare(tr.BASELINES[:4], train, val, FEATURES, "log_price", "price")
+    kept = data.where("split <> 'test'").drop("split")
+    folded = ranks.contiguous_folds(ranks.global_row_number(kept, ["key"], "position"), "position", 3)
+    return tidy(tr.cross_validate_best(board, tr.BASELINES[:4], files.stored(folded, "folds"), FEATURES, "log_price", "fold"))
+
+
 @register("feature_importance")
 def feature_importance(spark, folder):
     train, _ = _parts(spark, folder)
