@@ -20,8 +20,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Repeated chunks of lines go; so do documents of which they leave nothing."""
-    out = line_dedup.dedup(docs)
+    """Repeated chunks and passages of lines go; so do documents of which they leave nothing."""
+    out = line_dedup.dedup(docs, passage_words=line_dedup.PASSAGE_WORDS)
     emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     return out.where(~emptied).select(*map(name_of, docs.columns))
 

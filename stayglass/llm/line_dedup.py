@@ -11,6 +11,12 @@ A chunk counts when it has two lines with words or more, or is a long line. Of t
 first (smallest id, nulls last, then position) stays; any other whose bytes equal the first's is removed. Chunks that
 only share a hash with the first stay.
 
+With ``passage_words`` whole passages of lines go as well, whatever stands around them: from each line the shortest run
+of lines with so many words, and to each line the shortest such run, is a window (lines without words don't count). The windows inside a passage of that
+many words or more cover all its lines. Windows are told apart by 128 bits of sha256 instead of bytes; the first in
+the order above stays, the lines of the others go, but for lines that the first has itself. Windows and chunks are both
+taken from the text as it came. Without it the results are those of the query's SQL, which knows chunks alone.
+
 Everything is DataFrame expressions. Texts go through a shuffle twice: as counting chunks to meet their hash, and as
 documents to meet what is removed from them. A chunk that a third of all documents has is one row of counts per task
 before the shuffle; the joins on hashes are plain, so that Spark splits their hot partitions.
@@ -30,6 +36,8 @@ CUT_DIGITS = "0123"
 LONG_WORDS = 20
 #: words of a line, in Java's and DuckDB's expressions alike
 WORD = r"[^\x20\x09-\x0D]+"
+#: words of a passage that goes wherever it stands
+PASSAGE_WORDS = 50
 
 
 def chunk_array(text: Column, cut_digits: str = CUT_DIGITS, long_words: int = LONG_WORDS) -> Column:
@@ -56,7 +64,8 @@ def chunk_array(text: Column, cut_digits: str = CUT_DIGITS, long_words: int = LO
             part = F.slice(facts, begin + 1, end - begin + 1)
             worded = F.size(F.filter(part, lambda x: x["words"] > 0))
             long = F.exists(part, lambda x: x["words"] >= long_words)
-            return F.struct(F.array_join(F.transform(part, lambda x: x["line"]), "\n").alias("body"), ((worded >= 2) | long).alias("counts"))
+            body = F.array_join(F.transform(part, lambda x: x["line"]), "\n")
+            return F.struct(body.alias("body"), ((worded >= 2) | long).alias("counts"), begin.alias("begin"), end.alias("end"))
 
         return F.transform(ends, chunk)
 
@@ -79,11 +88,70 @@ def repeats(docs: DataFrame, doc_id: str, text: str, cut_digits: str = CUT_DIGIT
     return gone.groupBy("id", "mark").agg(F.collect_set("at").alias("gone"))
 
 
+def passage_windows(text: Column, least: int) -> Column:
+    """Structs of ``at``, ``to`` (first and last line) and ``hash``: the shortest runs of lines with ``least`` words, from
+    each line with words and to each. Lines without words don't count, so no run has more than ``least`` lines."""
+    lines = F.transform(
+        F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line"), F.size(F.regexp_extract_all(x, F.lit(WORD), F.lit(0))).alias("words"))
+    )
+    facts = F.filter(lines, lambda f: f["words"] > 0)
+
+    def needed(words: Column) -> Column:
+        def add(a: Column, w: Column) -> Column:
+            return F.when(a["total"] < least, F.struct((a["total"] + w).alias("total"), (a["n"] + 1).alias("n"))).otherwise(a)
+
+        return F.aggregate(words, F.struct(F.lit(0).alias("total"), F.lit(0).alias("n")), add, lambda a: F.when(a["total"] >= least, a["n"]))
+
+    def pairs(f: Column) -> Column:
+        def packed(begin: Column, end: Column) -> Column:
+            return F.shiftleft(begin.cast("bigint"), 32) + end
+
+        def backward(w: Column, j: Column) -> Column:
+            begin = F.greatest(j - least + 1, F.lit(0))
+            return F.transform(F.array(needed(F.reverse(F.slice(f["words"], begin + 1, j - begin + 1)))), lambda n: packed(j - n + 1, j))
+
+        def forward(w: Column, i: Column) -> Column:
+            return F.transform(F.array(needed(F.slice(f["words"], i + 1, F.lit(least)))), lambda n: packed(i, i + n - 1))
+
+        both = F.array_union(F.flatten(F.transform(f["words"], forward)), F.flatten(F.transform(f["words"], backward)))
+        return F.array_compact(both)
+
+    def window(f: Column, code: Column) -> Column:
+        begin, end = F.shiftright(code, 32).cast("int"), F.pmod(code, F.lit(2**32)).cast("int")
+        body = F.array_join(F.slice(f["line"], begin + 1, end - begin + 1), "\n").cast("binary")
+        hash_ = F.unhex(F.substring(F.sha2(body, 256), 1, 32))
+        return F.struct(F.get(f["at"], begin).alias("at"), F.get(f["at"], end).alias("to"), hash_.alias("hash"))
+
+    columns = F.transform(F.array(facts), lambda f: F.struct(f["at"].alias("at"), f["line"].alias("line"), f["words"].alias("words")))
+    return F.flatten(F.transform(columns, lambda f: F.transform(pairs(f), lambda code: window(f, code))))
+
+
+def repeated_passages(docs: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
+    """(id, mark, ranges): of each document that has lines of repeated windows their first and last lines."""
+    rows = docs.where(name_of(text).isNotNull()).select(name_of(doc_id).cast("bigint").alias("id"), name_of(text).alias("text"))
+    windows = rows.select("id", F.xxhash64("text").alias("mark"), F.inline(passage_windows(F.col("text"), least)))
+    order = F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "mark", "at")
+    known = windows.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("order"), F.col("to"))).alias("first")).where("n > 1")
+    met = windows.join(known.select("hash", "first"), "hash").where(order != F.col("first.order"))
+    # a document that repeats its own lines keeps those of the first window
+    own = (F.coalesce("id", F.lit(2**63 - 1)) == F.col("first.order.id")) & (F.col("mark") == F.col("first.order.mark"))
+    begin = F.when(own, F.greatest(F.col("at"), F.col("first.to") + 1)).otherwise(F.col("at"))
+    met = met.select("id", "mark", begin.alias("begin"), F.col("to").alias("end")).where("begin <= end")
+    return met.groupBy("id", "mark").agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))
+
+
 def dedup(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", cut_digits: str = CUT_DIGITS, long_words: int = LONG_WORDS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    n_chars: str = "n_chars",
+    cut_digits: str = CUT_DIGITS,
+    long_words: int = LONG_WORDS,
+    passage_words: int | None = None,
 ) -> DataFrame:
     """``docs`` with two more columns, n_chunks and n_removed, and texts without repeated chunks; the length column,
-    where there is one, is counted again for texts that changed. A document may be left with an empty text."""
+    where there is one, is counted again for texts that changed. A document may be left with an empty text. With
+    ``passage_words`` (at least 1) repeated passages of so many words go too, and n_removed counts their windows as well."""
     key, mark, own, gone, chunks = fresh(docs.columns, "dedup_key", "dedup_mark", "dedup_own", "dedup_gone", "dedup_chunks")
     found = repeats(docs, doc_id, text, cut_digits, long_words)
     found = found.select(F.col("id").alias(key), F.col("mark").alias(mark), F.col("gone").alias(gone))
@@ -93,10 +161,26 @@ def dedup(
     left = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col(gone))
     cleaned = F.array_join(F.transform(left, lambda i: F.get(F.col(chunks), i)["body"]), "\n")
     changed = F.col(gone).isNotNull()
+    n_removed = F.coalesce(F.size(gone), F.lit(0))
+    if passage_words is not None:
+        ranges, range_key, range_mark = fresh(joined.columns, "dedup_ranges", "dedup_range_key", "dedup_range_mark")
+        more = repeated_passages(docs, doc_id, text, passage_words)
+        more = more.select(F.col("id").alias(range_key), F.col("mark").alias(range_mark), F.col("ranges").alias(ranges))
+        joined = joined.join(more, name_of(doc_id).cast("bigint").eqNullSafe(F.col(range_key)) & (F.col(own) == F.col(range_mark)), "left")
+        n_removed = n_removed + F.coalesce(F.size(ranges), F.lit(0))
+        changed = changed | F.col(ranges).isNotNull()
+        none = F.array().cast("array<int>")
+        of_chunks = F.transform(F.col(gone), lambda k: F.sequence(F.get(F.col(chunks), k)["begin"], F.get(F.col(chunks), k)["end"]))
+        of_ranges = F.transform(F.col(ranges), lambda r: F.sequence(r["begin"], r["end"]))
+        out_lines = F.concat(F.coalesce(F.flatten(of_chunks), none), F.coalesce(F.flatten(of_ranges), none))
+        # one-element arrays, as above
+        both = F.array(F.struct(F.split(name_of(text), "\n", -1).alias("lines"), out_lines.alias("out")))
+        stay = F.transform(both, lambda b: F.struct(b["lines"].alias("lines"), F.array_except(F.sequence(F.lit(0), F.size(b["lines"]) - 1), b["out"]).alias("stay")))
+        cleaned = F.get(F.transform(stay, lambda b: F.array_join(F.transform(b["stay"], lambda i: F.get(b["lines"], i)), "\n")), F.lit(0))
     out = {
         text: F.when(changed, cleaned).otherwise(name_of(text)),
         "n_chunks": F.greatest(F.coalesce(F.size(chunks), F.lit(0)), F.lit(0)).cast("bigint"),
-        "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("bigint"),
+        "n_removed": n_removed.cast("bigint"),
     }
     if n_chars in docs.columns:
         out[n_chars] = F.when(changed, F.length(cleaned).cast(docs.schema[n_chars].dataType)).otherwise(name_of(n_chars))

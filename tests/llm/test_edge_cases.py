@@ -76,6 +76,32 @@ def test_line_dedup(spark, docs):
     assert all(long not in t for i, t in got if i in (2, 3))
 
 
+def test_whole_passages_go_whatever_stands_around(spark, docs):
+    draw = random.Random(3)
+
+    def line(n):
+        return " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+
+    passages = [[line(n) for n in sizes] for sizes in ([11] * 5, [19, 19, 10, 3], [2, 15, 15, 15, 15, 1], [0, 25, 4, 25, 3], [7] * 12)]
+    rows, left = [], []
+    for i in range(40):
+        before, after = [line(5) for _ in range(i % 4)], [line(6) for _ in range(i % 3)]
+        rows.append((i, "\n".join([*before, *passages[i % 5], *after])))
+        left.append((i, rows[-1][1] if i < 5 else "\n".join([*before, *after])))
+    rows.append((50, "\n".join([line(11)] * 20)))
+    left.append((50, "\n".join(rows[-1][1].split("\n")[:5])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(line_dedup.dedup(frame, cut_digits="", passage_words=50), "text")
+    # an empty line at the edge of a passage has no words and may stay
+    assert [(i, [x for x in t.split("\n") if x]) for i, t in sorted(got)] == [(i, [x for x in t.split("\n") if x]) for i, t in left]
+    import corpus_pipeline
+
+    kept = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, frame, "").collect()}
+    lines = {x for p in passages for x in p if x}
+    assert not any(lines & set(kept.get(i, "").split("\n")) for i in range(5, 40))
+    assert line_dedup.dedup(docs, passage_words=50).count() == len(ROWS)
+
+
 def test_decontamination(spark, docs):
     bench = spark.createDataFrame([(1, PLAIN), (1, "short text"), (None, "été"), (2, None), (3, "!!"), (3, " ")], "item_id long, text string")
     got = by_id(decontaminate.report(docs, bench), "n_words", "n_hit", "n_items")
