@@ -313,7 +313,7 @@ def bit_filter(ids: DataFrame, column: str, bits: int) -> bytes:
     return bytes(out)
 
 
-def _in_filter(filter_bytes: bytes, ids: np.ndarray, bits: int) -> np.ndarray:
+def in_filter(filter_bytes: bytes, ids: np.ndarray, bits: int) -> np.ndarray:
     slot = ids & ((1 << bits) - 1)
     bucket = np.where(slot > 0, 1 + (slot - 1) // 32768, 0)
     position = np.where(slot > 0, (slot - 1) % 32768, (-slot) % 32768)
@@ -330,7 +330,7 @@ def _wanted_texts(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, co
     def apply(batches):
         for batch in slices(batches, text):
             ids = batch.column(doc_id)
-            maybe = _in_filter(shared.value, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), s.filter_bits)
+            maybe = in_filter(shared.value, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), s.filter_bits)
             batch = batch.filter(pa.array(maybe | ids.is_null().to_numpy(zero_copy_only=False)))
             sets = {_class(x): x for x in _sets(batch.column(text), s) if len(x)}
             arrays = [pa.array(list(sets), pa.int64()), *columns(list(sets.values()))]

@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayglass.llm import byte_bpe, decontaminate, interpolated_lm, jaccard_join, license_scan, line_dedup, quality_model, quality_rules, sql, unigram_counts, url_filter
-from stayglass.llm.common import table
+from stayglass.llm import byte_bpe, collocations, decontaminate, interpolated_lm, jaccard_join, language_id, license_scan, line_dedup, merkle, quality_model
+from stayglass.llm import quality_rules, sql, unigram_counts, url_filter
+from stayglass.llm.common import fold, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -80,3 +81,23 @@ def licenses(spark, folder):
 @register("op10_decontamination", sql.DECONTAMINATION)
 def decontamination(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@register("op11_merkle_manifest", sql.MERKLE)
+def merkle_manifest(spark, folder):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.checked(table(spark, folder, "documents"), tampered)
+
+
+@register("op12_collocations", sql.COLLOCATIONS)
+def phrase_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@register("op13_language_id")
+def languages(spark, folder):
+    docs = table(spark, folder, "documents")
+    held = fold(F.col("doc_id"), 5) == 0
+    model = language_id.fit(docs, only=~held)
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")

@@ -122,10 +122,10 @@ d AS (SELECT doc_id, {words} AS w FROM documents),
 ds AS (SELECT doc_id, {shingles('w')} AS s FROM d),
 scales AS (SELECT DISTINCT scale FROM tl),
 every AS (SELECT list_distinct(flatten(list(s))) AS a FROM tl),
-some AS (SELECT doc_id, s FROM ds, every WHERE len(list_intersect(s, a)) > 0),
+touched AS (SELECT doc_id, s FROM ds, every WHERE len(list_intersect(s, a)) > 0),
 windows AS (
   SELECT doc_id, scale, s[k+1:k+2*scale] AS items
-  FROM (SELECT doc_id, s, scale, unnest(range(0, len(s), scale)) AS k FROM some, scales)),
+  FROM (SELECT doc_id, s, scale, unnest(range(0, len(s), scale)) AS k FROM touched, scales)),
 found AS (
   SELECT doc_id, name, max(round(len(list_intersect(items, tl.s)) * 100.0 / m, 4)) AS best
   FROM windows JOIN tl ON windows.scale = tl.scale
@@ -134,3 +134,75 @@ per AS (SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS nam
 SELECT ds.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses,
        coalesce(names, '') AS licenses, CAST(coalesce(total, 0) AS BIGINT) AS percent_sum
 FROM ds LEFT JOIN per USING (doc_id)"""
+
+
+# crc32 of a decimal text, bit by bit: a number from 1000 on stands for a character, 0 for a step of one bit
+_CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), ch -> list_concat([CAST(1000 + ascii(ch) AS BIGINT)], [CAST(0 AS BIGINT) for z in range(8)])))),
+  lambda c, x: CASE WHEN x >= 1000 THEN xor(c, x - 1000) WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END), CAST(4294967295 AS BIGINT))""".replace(
+    "ch -> ", "lambda ch: "
+)
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({value} AS VARCHAR))), ':', {value}) END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(concat(" + ", ".join(_field(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + "))"
+
+
+_PARENTS = "list_transform(range(1, len(l) + 1, 2), lambda i: sha256(concat(l[i], coalesce(l[i + 1], ''))))"
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC32} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS shown FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS l FROM placed GROUP BY lang
+  UNION ALL SELECT lang, level + 1, {_PARENTS} FROM levels WHERE len(l) > 1),
+subroots AS (SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM levels WHERE len(l) = 1),
+above AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS l FROM subroots
+  UNION ALL SELECT level + 1, {_PARENTS} FROM above WHERE len(l) > 1),
+height AS (SELECT lang, max(level) AS h FROM levels GROUP BY lang),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.lang, p.pos, v.level AS step, (p.pos >> v.level) % 2 AS slot, v.l[xor(p.pos >> v.level, 1) + 1] AS mate
+  FROM placed p JOIN levels v ON p.lang IS NOT DISTINCT FROM v.lang AND len(v.l) > 1
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.lang, p.pos, h.h + a.level, (s.place >> a.level) % 2, a.l[xor(s.place >> a.level, 1) + 1]
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang JOIN height h ON p.lang IS NOT DISTINCT FROM h.lang JOIN above a ON len(a.l) > 1),
+paths AS (
+  SELECT lang, pos, list(CASE WHEN mate IS NULL THEN '' ELSE concat(slot, mate) END ORDER BY step) AS path,
+         string_agg(coalesce(mate, ''), '' ORDER BY step) AS mates FROM steps GROUP BY lang, pos),
+rows_ AS (
+  SELECT p.doc_id, p.leaf, s.subroot, (SELECT l[1] FROM above WHERE len(l) = 1) AS root, sha256(coalesce(q.mates, '')) AS proof_sha256,
+         list_reduce(list_concat([p.shown], coalesce(q.path, [])), lambda c, x: sha256(CASE
+           WHEN x = '' THEN c WHEN x[1] = '0' THEN concat(c, x[2:]) ELSE concat(x[2:], c) END)) AS folded_root
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang LEFT JOIN paths q ON p.lang IS NOT DISTINCT FROM q.lang AND p.pos = q.pos)
+SELECT *, folded_root = root AS verified FROM rows_"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?
+-]')) AS p FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^ 	]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+spans AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+phrases AS (SELECT lang, w[i:i+k-1] AS w FROM spans, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, w, count(*) AS a FROM phrases GROUP BY lang, w HAVING count(*) >= 100),
+cand AS (SELECT * FROM f WHERE len(w) > 1),
+inside AS (
+  SELECT DISTINCT lang, w[i:i+k-1] AS w, a FROM (
+    SELECT lang, w, a, k, unnest(range(1, len(w) - k + 2)) AS i FROM cand, (SELECT unnest(range(2, 5)) AS k) WHERE k < len(w))),
+kept AS (SELECT * FROM cand WHERE NOT EXISTS (
+  SELECT 1 FROM inside WHERE inside.lang = cand.lang AND inside.w = cand.w AND 100 * inside.a >= 100 * cand.a)),
+cuts AS (
+  SELECT kept.lang, kept.w, kept.a, k, x.a AS l, y.a AS r, n, CAST(1000 * CAST(kept.a AS HUGEINT) * n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM kept) AS kept
+  JOIN f x ON x.lang = kept.lang AND x.w = kept.w[1:k] JOIN f y ON y.lang = kept.lang AND y.w = kept.w[k+1:]
+  JOIN total ON total.lang = kept.lang),
+lowest AS (SELECT *, array_to_string(w, ' ') AS phrase FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000"""

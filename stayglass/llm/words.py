@@ -23,7 +23,7 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 GAP, WORD, ALONE = 0, 1, 2
 
 
-def _table(gaps, alone=()) -> np.ndarray:
+def kinds_table(gaps, alone=()) -> np.ndarray:
     kinds = np.full(256, WORD, np.uint8)
     kinds[list(gaps)] = GAP
     kinds[list(alone)] = ALONE
@@ -33,11 +33,11 @@ def _table(gaps, alone=()) -> np.ndarray:
 _SPACE = [0x20, *range(0x09, 0x0E)]
 _ASCII_LETTER = {*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)}
 #: words ``[^\x20\x09-\x0D]+``
-SPACED = _table(_SPACE)
+SPACED = kinds_table(_SPACE)
 #: words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text
-ALPHANUMERIC = _table(set(range(0x80)) - _ASCII_LETTER)
+ALPHANUMERIC = kinds_table(set(range(0x80)) - _ASCII_LETTER)
 #: words of letters and digits, and every other visible ASCII sign alone
-WITH_SIGNS = _table(_SPACE, set(range(0x80)) - _ASCII_LETTER - set(_SPACE))
+WITH_SIGNS = kinds_table(_SPACE, set(range(0x80)) - _ASCII_LETTER - set(_SPACE))
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
