@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from stayglass.operators.columns import quoted
 from stayglass.operators.profile import regression_metrics
 from stayglass.operators.rows import union_by_name
+from stayglass.plans.forest import Forest, ForestSettings
 
 SEED = 42
 
@@ -134,21 +136,44 @@ def elastic_net(df: DataFrame, label: str, alpha: float = 0.1, l1_ratio: float =
                             elasticNetParam=l1 / (l1 + l2), maxIter=2000)
 
 
-def forest(df: DataFrame, label: str) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=label, numTrees=50, maxDepth=10, minInstancesPerNode=5,
-                                 featureSubsetStrategy="all", seed=SEED, maxBins=64)
+def forest(df: DataFrame, label: str) -> Forest:
+    return Forest(label, ForestSettings(trees=50, depth=10, least=5, share="all", seed=SEED))
 
 
-def enhanced_forest(df: DataFrame, label: str) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=label, numTrees=200, maxDepth=15, minInstancesPerNode=2,
-                                 featureSubsetStrategy="sqrt", seed=SEED, maxBins=64)
+def enhanced_forest(df: DataFrame, label: str) -> Forest:
+    return Forest(label, ForestSettings(trees=200, depth=15, least=2, share="sqrt", seed=SEED))
 
 
-def boosted_trees(df: DataFrame, label: str, rounds: int = 100, validation: str | None = None) -> GBTRegressor:
-    """Depth 6, rate 0.1, 80 % subsamples; stops early on the rows flagged by ``validation``."""
-    gbt = GBTRegressor(labelCol=label, maxIter=rounds, stepSize=0.1, maxDepth=6, subsamplingRate=0.8,
-                       seed=SEED, maxBins=64)
-    return gbt.setValidationIndicatorCol(validation) if validation else gbt
+def boosted_trees(df: DataFrame, label: str, rounds: int = 100) -> GBTRegressor:
+    """Depth 6, rate 0.1, 80 % subsamples."""
+    return GBTRegressor(labelCol=label, maxIter=rounds, stepSize=0.1, maxDepth=6, subsamplingRate=0.8, seed=SEED, maxBins=64)
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds to keep: the best one so far when ``patience`` rounds in a row are no better."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def stopped_early(model: GBTRegressionModel, validation: DataFrame, label: str, patience: int) -> GBTRegressionModel:
+    """The ensemble cut at its best round on the validation rows, which hold a ``features`` vector."""
+    losses = model.evaluateEachIteration(validation.where(F.col(label).isNotNull()), "squared")
+    keep, java = best_round(losses, patience), model._java_obj
+    if keep >= len(losses):
+        return model
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    weights = gateway.new_array(jvm.double, keep)
+    for i in range(keep):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights)
+    cut.set(cut.getParam("labelCol"), label)
+    return GBTRegressionModel(cut)
 
 
 @dataclass(frozen=True)
@@ -157,6 +182,7 @@ class ModelSpec:
     build: Callable[..., object]
     encode: str = "onehot"
     kind: str = "Baseline"
+    patience: int | None = None  # rounds without gain on the validation rows after which boosting stops
 
 
 BASELINES = [
@@ -168,7 +194,7 @@ BASELINES = [
 ]
 ADVANCED = [
     ModelSpec("Enhanced Random Forest", enhanced_forest, "label", "Advanced"),
-    ModelSpec("Gradient Boosting", boosted_trees, "label", "Advanced"),
+    ModelSpec("Gradient Boosting", boosted_trees, "label", "Advanced", patience=10),
 ]
 
 
@@ -176,13 +202,14 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str,
         validation: DataFrame | None = None) -> tuple[PipelineModel, list[str]]:
     """Fitted pipeline and the names of its vector entries.
 
-    Boosting uses ``validation`` to stop early.
+    A spec with ``patience`` stops early on ``validation``.
     """
     prep = preprocess(train, features, spec.encode)
-    if spec.build is boosted_trees and validation is not None:
-        rows = train.withColumn("_held", F.lit(False)).unionByName(validation.withColumn("_held", F.lit(True)))
-        return Pipeline(stages=[*prep.stages, boosted_trees(train, label, validation="_held")]).fit(rows), prep.names
-    return Pipeline(stages=[*prep.stages, spec.build(train, label)]).fit(train), prep.names
+    model = Pipeline(stages=[*prep.stages, spec.build(train, label)]).fit(train)
+    if spec.patience is not None and validation is not None:
+        before = PipelineModel(model.stages[:-1])
+        model = PipelineModel([*before.stages, stopped_early(model.stages[-1], before.transform(validation), label, spec.patience)])
+    return model, prep.names
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -250,7 +277,8 @@ def cross_validate_best(board: DataFrame, specs: Sequence[ModelSpec], df: DataFr
 
 def feature_importance(model: PipelineModel, names: Sequence[str], df: DataFrame) -> DataFrame:
     """Importances of a tree model, largest first; one row per vector entry."""
-    values = model.stages[-1].featureImportances.toArray()
+    last = model.stages[-1]
+    values = last.importances if hasattr(last, "importances") else last.featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(names, values)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
