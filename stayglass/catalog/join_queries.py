@@ -39,7 +39,8 @@ SELECT checkin, days_from_checkin, segment, count(*) AS pairs, count(DISTINCT ev
 FROM pairs GROUP BY checkin, days_from_checkin, segment""")
 def interval_join(spark, folder):
     stays = t.stays(spark, folder).select("stay_id", "checkin", "checkout")
-    events = t.city_events(spark, folder).select("event_id", "day", "segment", "score")
+    # a number in place of the text id: every pair carries it
+    events = t.city_events(spark, folder).select(F.xxhash64("event_id").alias("event_id"), "day", "segment", "score")
     pairs = j.interval_join(stays, events, "checkin", "checkout", "day", ["stay_id"])
     return tidy(
         pairs.groupBy("checkin", "days_from_checkin", "segment").agg(

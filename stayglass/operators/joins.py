@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from stayglass.functions import geo
 from stayglass.functions.dates import days_within
+from stayglass.operators.columns import quoted
 from stayglass.operators.profile import pearson
+from stayglass.session import work_path
 
 # pairs one task may produce for one day before the day is split further
 PAIRS_PER_TASK = 4_000_000
+MOST_TASKS = 100_000
 
 
 def one_row_per_day(weather: DataFrame, day: str, measures: Sequence[str]) -> DataFrame:
@@ -47,9 +50,11 @@ def interval_join(left: DataFrame, right: DataFrame, start: str, end: str, day:
     """Rows of both sides with ``start <= day < end``, plus ``days_from_checkin``.
 
     ``start``, ``end`` and ``day`` are dates. Each left row is listed under the days it covers, so
-    the match is an equi-join on the day. A day with more than ``pairs_per_task`` matches is cut
-    into slices by a hash of the ``spread`` columns of the left side, and the right rows of that
-    day are repeated per slice: no day has to fit in one task.
+    the match is an equi-join on the day. A day with more than ``pairs_per_task`` matches becomes
+    a grid of ``a`` times ``b`` cells: a hash of the ``spread`` columns puts a left row in one of
+    ``a`` rows of the grid, where it stands in all ``b`` cells; a hash of all its columns puts a
+    right row in one of ``b`` columns, where it stands in all ``a`` cells. Both come from the
+    counts of both sides, so the smaller side is copied more and neither has to fit in one task.
     """
     dated = right.where(F.col(day).isNotNull())
     by_day = (
@@ -58,24 +63,38 @@ def interval_join(left: DataFrame, right: DataFrame, start: str, end: str, day:
         .drop("_bounds")
         .withColumn("days_from_checkin", F.datediff("_day", start).cast("bigint"))
     )
-    # one row per hot calendar day: a date column bounds this to a few MB at the very worst
-    hot = (
-        by_day.groupBy("_day").agg(F.count(F.lit(1)).alias("_l"))
-        .join(dated.groupBy(F.col(day).alias("_day")).agg(F.count(F.lit(1)).alias("_r")), "_day")
-        .select("_day", F.ceil(F.col("_l") * F.col("_r") / F.lit(pairs_per_task)).alias("_slices"))
-        .where("_slices > 1")
+    # one row per calendar day, written once: it shapes the grid and tells how many tasks the pairs need
+    sizes = by_day.groupBy("_day").agg(F.count(F.lit(1)).alias("_l")).join(
+        dated.groupBy(F.col(day).alias("_day")).agg(F.count(F.lit(1)).alias("_r")), "_day"
     )
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    left_cut = by_day.join(F.broadcast(hot), "_day", "left").withColumn(
-        "_slice", F.pmod(F.xxhash64(*spread), slices)
-    ).drop("_slices")
-    right_cut = (
-        dated.withColumn("_day", F.col(day))
-        .join(F.broadcast(hot), "_day", "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
-        .drop("_slices")
-    )
-    return left_cut.join(right_cut, ["_day", "_slice"]).drop("_day", "_slice")
+    path = work_path(left.sparkSession, "pairs-per-day")
+    sizes.write.parquet(path)
+    sizes = left.sparkSession.read.parquet(path)
+    per_day = F.col("_l") * F.col("_r").cast("double")
+    total = sizes.agg(F.sum(per_day)).first()[0] or 0
+    # a date column bounds this to a few MB at the very worst
+    hot = F.broadcast(sizes.where(per_day > pairs_per_task).select("_day", *grid(F.col("_l"), F.col("_r"), pairs_per_task)))
+    a, b = (F.coalesce(F.col(c), F.lit(1).cast("bigint")) for c in ("_a", "_b"))
+    zero = F.lit(0).cast("bigint")
+    left_cut = by_day.join(hot, "_day", "left").withColumns({
+        "_row": F.pmod(F.xxhash64(*spread), a), "_column": F.sequence(zero, b - 1),
+    }).drop("_a", "_b").withColumn("_column", F.explode("_column"))
+    right_cut = dated.withColumn("_day", F.col(day)).join(hot, "_day", "left").withColumns({
+        "_row": F.sequence(zero, a - 1), "_column": F.pmod(F.xxhash64(*[quoted(c) for c in right.columns]), b),
+    }).drop("_a", "_b").withColumn("_row", F.explode("_row"))
+    # few rows make many pairs, so the number of tasks follows the pairs, not the size of the rows
+    cell, tasks = ["_day", "_row", "_column"], int(min(MOST_TASKS, max(1, -(-2 * total // pairs_per_task))))
+    return left_cut.repartition(tasks, *cell).join(right_cut.repartition(tasks, *cell), cell).drop(*cell)
+
+
+def grid(left: Column, right: Column, pairs_per_task: int) -> list[Column]:
+    """Rows ``_a`` and columns ``_b`` of the grid for two counts. Cells are planned for half of
+    ``pairs_per_task``, since a hash fills them unevenly."""
+    cells = F.ceil(left * right.cast("double") * 2 / F.lit(pairs_per_task))
+    across = F.least(left, F.greatest(F.lit(1).cast("bigint"), F.ceil(F.sqrt(cells * left / right))))
+    down = F.least(right, F.ceil(cells / across))
+    # where the right side is too short for that, the left one is cut further
+    return [F.least(left, F.greatest(across, F.ceil(cells / down))).alias("_a"), down.alias("_b")]
 
 
 def calendar_flag(df: DataFrame, start: str, end: str, calendar: DataFrame, day: str,

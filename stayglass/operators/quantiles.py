@@ -14,6 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayglass.session import work_path
+
+STEP = 16  # cuts between two that are looked at first
 BINS = 256  # a sorted slice holds about this share of the distinct values of its group
 
 
@@ -24,7 +27,10 @@ def _ranked_values(df: DataFrame, value: Column, by: Sequence[str], ranks_of) ->
     """
     by = list(by)
     clean = df.select(*by, value.alias("_v")).where("_v IS NOT NULL")
-    counted = clean.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # one scan of the input; what follows reads the counts, written once
+    path = work_path(df.sparkSession, "value-counts")
+    clean.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")).write.parquet(path)
+    counted = df.sparkSession.read.parquet(path)
     facts = [
         F.percentile_approx("_v", [i / BINS for i in range(1, BINS)], 16 * BINS).alias("_cuts"),
         F.sum("_n").alias("_total"),
@@ -36,7 +42,7 @@ def _ranked_values(df: DataFrame, value: Column, by: Sequence[str], ranks_of) ->
     else:
         whole = counted.agg(F.struct(*facts).alias("f")).select("f").scalar()
         located = counted.withColumn("_f", whole).select("_v", "_n", "_f._cuts", "_f._total")
-    located = located.withColumn("_bin", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
+    located = located.withColumn("_bin", _position(F.col("_cuts"), F.col("_v"))).drop("_cuts")
 
     # at most BINS rows per group reach this window
     before = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -56,6 +62,14 @@ def _ranked_values(df: DataFrame, value: Column, by: Sequence[str], ranks_of) ->
     return kept.select(*by, "_v", "_n", "_total", (F.col("_start") + F.sum("_n").over(in_bin)).alias("_end"))
 
 
+def _position(cuts: Column, value: Column) -> Column:
+    """How many of the ascending cuts are below the value: first among every ``STEP``-th cut, then between two of those."""
+    # repeated cuts are all below the value or none is, so the coarse ones that are below it come first
+    coarse = F.filter(F.array(*[F.get(cuts, F.lit(i)) for i in range(STEP - 1, BINS - 1, STEP)]), lambda cut: cut < value)
+    start = F.size(coarse) * STEP
+    return start + F.size(F.filter(F.slice(cuts, start + 1, F.lit(STEP)), lambda cut: cut < value))
+
+
 def exact_quantiles(df: DataFrame, value: Column | str, quantiles: dict[str, float],
                     by: Sequence[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles: ``by`` columns plus one column per entry of ``quantiles``.

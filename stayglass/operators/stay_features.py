@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayglass import fixed_values as fv
 from stayglass.functions.dates import days_within
 from stayglass.operators.joins import day_bounds, interval_join, rounded_km
+from stayglass.session import work_path
 
 STAY = {"checkin": "checkin", "checkout": "checkout", "lat": "lat", "lon": "lon"}
 EVENT = {"day": "day", "score": "score", "segment": "segment", "lat": "event_lat", "lon": "event_lon"}
@@ -111,7 +112,7 @@ def distance_features(stays: DataFrame, events: DataFrame, stay: Mapping[str, st
                       event: Mapping[str, str] = EVENT) -> DataFrame:
     """Distance features per distinct (check-in, check-out, hotel point)."""
     spell = [stay["checkin"], stay["checkout"], stay["lat"], stay["lon"]]
-    spells = stays.select(*spell).na.drop().where(F.col(spell[1]) > F.col(spell[0])).distinct()
+    spells = numbered(stays.select(*spell).na.drop().where(F.col(spell[1]) > F.col(spell[0])).distinct(), "_spell")
     points = located(events, event).groupBy(
         F.col(event["day"]).alias("_event_day"),
         F.col(event["lat"]).alias("_event_lat"),
@@ -121,44 +122,30 @@ def distance_features(stays: DataFrame, events: DataFrame, stay: Mapping[str, st
         F.sum(event["score"]).alias("_sum"),
         F.max(event["score"]).alias("_max"),
     )
-    pairs = interval_join(spells, points, spell[0], spell[1], "_event_day", spell).withColumn(
-        "_km", rounded_km(F.col(spell[2]), F.col(spell[3]), F.col("_event_lat"), F.col("_event_lon"))
-    )
-    # equal distances merge before the shuffle: all pairs of a spell and day come out of one task,
-    # and two-decimal distances bound a spell to two million rows however many events there are
-    merged = pairs.groupBy(*spell, "_km").agg(
-        F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"), F.max("_max").alias("_max")
-    )
-    # the sort for the median spills to disk and serves every other figure as well
-    per_spell = Window.partitionBy(*spell)
-    ranked = merged.select(
-        *spell, "_km", "_n", "_sum", "_max",
-        F.sum("_n").over(per_spell.orderBy("_km").rowsBetween(Window.unboundedPreceding, 0)).alias("_end"),
-        F.sum("_n").over(per_spell).alias("_total"),
-    )
-    middle = (F.col("_total") - 1) / 2
-    hundredths = F.round(F.col("_km") * 100).cast("bigint")
-    facts = ranked.groupBy(*spell).agg(
-        F.min("_km").alias("min_distance_to_event"),
-        F.max("_km").alias("max_distance_to_event"),
-        # whole hundredths add up exactly, in any order
-        (F.sum(hundredths * F.col("_n")) / (F.sum("_n") * F.lit(100.0))).alias("_avg"),
-        F.min(F.when(F.col("_end") > F.floor(middle), F.col("_km"))).alias("_low"),
-        F.min(F.when(F.col("_end") > F.ceil(middle), F.col("_km"))).alias("_high"),
-        F.coalesce(F.sum(F.col("_sum") / (F.col("_km") + fv.WEIGHT_OFFSET_KM)), F.lit(0.0)).alias("_weighted"),
-        F.min(F.when(F.col("_max") >= fv.MAJOR_EVENT_SCORE, F.col("_km"))).alias(
-            "distance_to_closest_major_event"
-        ),
-    )
-    # half the sum of two whole hundredths, so the median rounds the same way everywhere
-    median = (F.round(F.col("_low") * 100) + F.round(F.col("_high") * 100)) / 200
+    km = rounded_km(F.col(spell[2]), F.col(spell[3]), F.col("_event_lat"), F.col("_event_lon"))
+    # whole hundredths of a kilometre: one number for all figures, and sums that are exact in any order
+    pairs = interval_join(spells, points, spell[0], spell[1], "_event_day", ["_spell"]).select(
+        "_spell", "_n", "_sum", "_max", F.floor(km * 100 + 0.5).alias("_h")
+    )
+    near = F.col("_h") / 100
+    # One exchange, by the spell's number; all pairs of a spell and day are reduced in the task that joins them.
+    # ``percentile`` keeps a count per distinct value: two-decimal distances on earth are two million at most.
+    facts = pairs.groupBy("_spell").agg(
+        (F.min("_h") / 100).alias("min_distance_to_event"),
+        (F.max("_h") / 100).alias("max_distance_to_event"),
+        (F.sum(F.col("_h") * F.col("_n")) / (F.sum("_n") * F.lit(100.0))).alias("_avg"),
+        # half the sum of two whole hundredths, so the median rounds the same way everywhere
+        (F.percentile("_h", F.lit(0.5), F.col("_n")) / 100).alias("_median"),
+        F.coalesce(F.sum(F.col("_sum") / (near + fv.WEIGHT_OFFSET_KM)), F.lit(0.0)).alias("_weighted"),
+        (F.min(F.when(F.col("_max") >= fv.MAJOR_EVENT_SCORE, F.col("_h"))) / 100).alias("distance_to_closest_major_event"),
+    ).join(spells, "_spell")
     nearby = F.col("min_distance_to_event")
     weighted = F.round("_weighted", 2)
     return facts.select(
         *spell,
         "min_distance_to_event", "max_distance_to_event",
         F.round("_avg", 2).alias("avg_distance_to_events"),
-        F.round(median, 2).alias("median_distance_to_events"),
+        F.round("_median", 2).alias("median_distance_to_events"),
         weighted.alias("distance_weighted_event_score"),
         "distance_to_closest_major_event",
         flag(nearby <= 1.0).alias("has_nearby_event_1km"),
@@ -167,6 +154,13 @@ def distance_features(stays: DataFrame, events: DataFrame, stay: Mapping[str, st
     )
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows with a number each. They are written once, so that every reader sees the same numbers."""
+    path = work_path(df.sparkSession, "numbered")
+    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def located(events: DataFrame, event: Mapping[str, str] = EVENT) -> DataFrame:
     return events.where(
         F.col(event["day"]).isNotNull() & F.col(event["lat"]).isNotNull() & F.col(event["lon"]).isNotNull()

@@ -191,3 +191,30 @@ def test_far_checkout_and_values_that_do_not_fit(spark):
     assert [(r.k, r.v, r.days_from_checkin) for r in got] == [(1, 7, 2)]
     odd = spark.sql("SELECT explode(array(1e30D, double('NaN'), 3D)) AS x")
     assert [r.x for r in coerce(odd, {"x": "bigint"}).collect()] == [None, None, 3]
+
+
+@pytest.mark.parametrize(("n_left", "n_right", "limit"), [(1, 3000, 1000), (3000, 1, 1000), (700, 500, 6000), (2, 2000, 1000)])
+def test_hot_day_is_a_grid(spark, n_left, n_right, limit):
+    """No cell above the limit, no pair lost or doubled, also where one side is a single row."""
+    from stayglass.operators import joins
+
+    left = spark.range(n_left).selectExpr("id as k", "date'2024-05-01' as a", "date'2024-05-03' as b")
+    right = spark.range(n_right).selectExpr("id as e", "date'2024-05-02' as d")
+    got = joins.interval_join(left, right, "a", "b", "d", ["k"], pairs_per_task=limit)
+    assert got.select("k", "e").distinct().count() == got.count() == n_left * n_right
+    a, b = spark.range(1).select(*joins.grid(F.lit(n_left).cast("bigint"), F.lit(n_right).cast("bigint"), limit)).first()
+    assert 1 <= a <= n_left and 1 <= b <= n_right
+    left_cells = left.groupBy(F.pmod(F.xxhash64("k"), F.lit(a)).alias("r")).count().selectExpr("max(count)").first()[0]
+    right_cells = right.groupBy(F.pmod(F.xxhash64("e", "d"), F.lit(b)).alias("c")).count().selectExpr("max(count)").first()[0]
+    assert left_cells * right_cells <= limit
+
+
+def test_spatial_features_exchange_pairs_once(spark):
+    """Above the join that makes the pairs there is one exchange of what they are reduced to."""
+    from stayglass.operators import stay_features as sf
+
+    stays = spark.createDataFrame([(1, 43.6, -79.4)], "k int, lat double, lon double").selectExpr("*", "date'2024-05-01' as checkin", "date'2024-05-04' as checkout")
+    events = spark.createDataFrame([(1.0, "A", 43.7, -79.5)], "score double, segment string, event_lat double, event_lon double").selectExpr("*", "date'2024-05-02' as day")
+    plan = sf.distance_features(stays, events)._jdf.queryExecution().sparkPlan().toString()
+    above = plan.split("explode(_column")[0] if "explode(_column" in plan else plan
+    assert plan.count("percentile(") >= 1 and "Window" not in above
