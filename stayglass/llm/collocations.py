@@ -3,8 +3,8 @@
 Texts are split into pieces and those into words; everything is per language, so a word is known by a 64-bit hash of
 itself and its language (counts are exact up to equal hashes).
 
-1. **Words** are counted. Words below ``least`` can't be part of a candidate; they end a suffix (a bitmap of fixed size
-   tells them; one that it lets through costs work alone).
+1. **Words** are counted, then pairs of neighbours by a hash of ``pair_bits``. Words and pairs below ``least`` can't be part of a
+   candidate; they end a suffix (bitmaps of fixed size tell them; what these let through costs work alone).
 2. **Vertical partition.** A prefix, a word at first, that begins more than ``budget`` suffixes is extended by a word,
    until prefixes fit or the depth is reached. There are at most (all words / budget) such prefixes on a level. Prefixes
    are laid on a line by hash and cut into groups of about ``budget`` suffixes; the line has a fixed number of slots.
@@ -46,10 +46,12 @@ class Settings:
     least: int = 100  # occurrences of a candidate
     covered: int = 100  # per cent of a candidate's occurrences inside a longer one, from which on it goes
     top: int = 2000  # rows of each language
-    budget: int = 2_000_000  # suffixes of one group
-    slice_words: int = 1_500_000  # words that a task holds before it sends them on
+    budget: int = 1_000_000  # suffixes of one group
+    slice_words: int = 800_000  # words that a task holds before it sends them on
     slot_bits: int = 20  # slots of the line of prefixes, as a power of two
-    filter_bits: int = 27  # bits of the filter of frequent words, as a power of two
+    filter_bits: int = 27  # bits of the filters of frequent words and pairs, as a power of two
+    pair_bits: int = 36  # bits of the hash by which pairs are counted
+    pairs_in_part: int = 4_000_000  # pairs that one task counts
 
 
 # --- words and suffixes ---------------------------------------------------------------------------------------------
@@ -117,19 +119,62 @@ def word_counts(docs: DataFrame, text: str, lang: str, s: Settings) -> DataFrame
     return found.where((F.col("kind") == 1) | (F.col("f") >= s.least))
 
 
-def _suffixes(keys: np.ndarray, frequent: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs(keys: np.ndarray, words: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of neighbours in a piece that are both frequent."""
+    known = in_filter(words, keys.view(np.int64), s.filter_bits) & (keys > 0)
+    at = np.flatnonzero(known[:-1] & known[1:])
+    return at, _longer(keys[at], keys[at + 1]) >> np.uint64(64 - s.pair_bits)
+
+
+def frequent_pairs(tokens: DataFrame, words, volume: int, s: Settings) -> bytes:
+    """The filter of pair hashes that occur ``least`` times or more. Hashes are counted by ranges, each in one task."""
+    parts = max(1, -(-volume // s.pairs_in_part))
+
+    def count(batches):
+        for keys, _, _ in _tokens(batches, "text", "lang", s):
+            pairs, n = np.unique(_pairs(keys, words.value, s)[1], return_counts=True)
+            part = (pairs * np.uint64(parts) >> np.uint64(s.pair_bits)).astype(np.int64)
+            cuts = np.searchsorted(part, np.arange(parts + 1))
+            rows = [(p, packed_keys(pairs[a:b]), planes(n[a:b].astype("<u4"))) for p, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if b > a]
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["part", "pairs", "counts"])
+
+    def total(table):
+        pairs = np.concatenate([unpacked_keys(c) for c in table.column("pairs").to_pylist()])
+        n = np.concatenate([from_planes(c, "<u4") for c in table.column("counts").to_pylist()]).astype(np.int64)
+        order = np.argsort(pairs, kind="stable")
+        pairs, n = pairs[order], n[order]
+        begin = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        return pa.table({"pair": pairs[begin[np.add.reduceat(n, begin) >= s.least]].astype(np.int64)})
+
+    found = tokens.mapInArrow(count, "part bigint, pairs binary, counts binary").groupBy("part").applyInArrow(total, "pair bigint")
+    return bit_filter(stored(found, "collocations-pairs"), "pair", s.filter_bits)
+
+
+@dataclass
+class Frequent:
+    """Filters of the frequent words and pairs; their size is fixed by the settings."""
+
+    words: bytes
+    pairs: bytes
+
+
+def _suffixes(keys: np.ndarray, frequent: Frequent, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, codes, counts): distinct suffixes of two words or more, as codes from 1 into the ascending ``words``, 0
     past their end, in order."""
-    keys = np.where(in_filter(frequent, keys.view(np.int64), s.filter_bits), keys, 0)
-    words, place = np.unique(np.r_[np.uint64(0), keys], return_inverse=True)
+    begin, pairs = _pairs(keys, frequent.words, s)
+    begin = begin[in_filter(frequent.pairs, pairs.astype(np.int64), s.filter_bits)]
+    joined = np.zeros(len(keys) + s.depth, bool)  # the word there and the next one are a frequent pair
+    joined[begin] = True
+    used = joined[: len(keys)].copy()
+    used[begin + 1] = True
+    words, place = np.unique(np.r_[np.uint64(0), np.where(used, keys, 0)], return_inverse=True)
     place = np.r_[place[1:], np.zeros(s.depth, place.dtype)]
-    n = len(keys)
-    begin = np.flatnonzero((place[:n] > 0) & (place[1 : n + 1] > 0))
     codes, alive = np.zeros((len(begin), s.depth), np.int32), np.ones(len(begin), bool)
     for d in range(s.depth):
-        column = place[begin + d]
-        alive &= column > 0
-        codes[:, d] = np.where(alive, column, 0)
+        if d:
+            alive &= joined[begin + d - 1]
+        codes[:, d] = np.where(alive, place[begin + d], 0)
     order, new = _sorted(codes, len(words))
     starts = np.flatnonzero(new)
     counts = np.diff(np.r_[starts, len(order)])
@@ -318,11 +363,13 @@ def _subtree(groups, s: Settings):
     return build
 
 
-def phrase_counts(docs: DataFrame, text: str, lang: str, words: DataFrame, s: Settings) -> DataFrame:
+def phrase_counts(docs: DataFrame, text: str, lang: str, words: DataFrame, volume: int, s: Settings) -> DataFrame:
     """(w, a) of all phrases of 2 to ``depth`` words with ``least`` occurrences and more; w are the keys of the words."""
     spark = docs.sparkSession
     tokens = docs.select(name_of(text).alias("text"), name_of(lang).cast("string").alias("lang"))
-    frequent = spark.sparkContext.broadcast(bit_filter(words, "key", s.filter_bits))  # its size is fixed by the settings
+    known = bit_filter(words, "key", s.filter_bits)
+    pairs = frequent_pairs(tokens, spark.sparkContext.broadcast(known), volume, s)
+    frequent = spark.sparkContext.broadcast(Frequent(known, pairs))
     groups = spark.sparkContext.broadcast(partition(tokens, words, frequent, s))
     nodes = _dealt(tokens, groups, frequent, s).groupBy("grp").applyInArrow(_subtree(groups, s), "w array<bigint>, a bigint")
     return nodes.groupBy("w").agg(F.sum("a").alias("a")).where(F.col("a") >= s.least)
@@ -336,7 +383,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", settin
     s = settings
     counted = stored(word_counts(docs, text, lang, s), "collocations-words")
     words, totals = counted.where("kind = 0"), counted.where("kind = 1").select("lang", F.col("f").alias("n"))
-    nodes = stored(phrase_counts(docs, text, lang, words, s), "collocations-nodes")
+    volume = words.agg(F.sum("f")).first()[0] or 0
+    nodes = stored(phrase_counts(docs, text, lang, words, volume, s), "collocations-nodes")
 
     # a phrase inside a longer one that has its occurrences goes
     inside = nodes.where(F.size("w") > 2).withColumn("size", F.explode(F.sequence(F.lit(2), F.size("w") - 1)))
