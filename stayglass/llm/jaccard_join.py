@@ -22,9 +22,17 @@ Which shingles are hot changes the work, never the result.
 
 **Verification.** The smallest member of a key is its hub. Each class is paired with the hub that it shares most keys
 with, if sizes and parity bits (a lower bound of the difference, first 256, then as many as shingles) allow; the sets
-themselves decide. Links join components. Members
-of a key that are still in different components are then paired, checked and linked in the same way, so no link between
-components is lost, while copies of one component aren't paired with each other.
+themselves decide. Links join components. Keys whose members are still in different components go on:
+
+* a key of few members (``small_key``) pairs those of different components;
+* the classes of larger keys get a hub again, another one each round, and what is left apart is **refined**: shingles are
+  put in one order, rare ones first, and the whole overlap that a similarity asks for is allotted to the rare end. Of two
+  similar sets, the smaller has a shared shingle among its first tenth (n - overlap(n, n) + 1 of n), the larger among its
+  first fifth. Each such shingle with a size band is a key of its own. Texts that share a passage and differ in rare
+  words, or copies just below the threshold, don't meet there, however many they are.
+
+No link between components is lost, while members of one component aren't paired with each other: in a refined key the
+largest component is paired with the others alone.
 """
 
 from __future__ import annotations
@@ -37,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayglass.llm.common import name_of, stored
+from stayglass.llm.common import fresh, name_of, stored
 from stayglass.llm.components import components
 from stayglass.llm.packing import from_planes, packed_keys, planes, unpacked_keys
 from stayglass.llm.words import SPACED, mix, shingle_hashes, slices, words_of
@@ -54,6 +62,11 @@ class Settings:
     filter_bits: int = 24  # bits of the filter of candidate ids, as a power of two
     collision: float = 0.02  # share of shingles that a set has in common with another by chance
     keys_in_part: int = 1_500_000  # keys that one task matches
+    small_key: int = 12  # members of a key up to which those of different components are paired as they are
+    rounds: int = 2  # further hubs that the classes of larger keys get
+    tiers: tuple[int, ...] = (2, 8, 64, 512)  # frequencies at which a shingle counts as less rare
+    tier_bits: int = 26  # bits of the filter of a tier, as a power of two
+    refined_ratio: float = 1.2  # size bands of refined keys
 
 
 # --- bands and allotments -------------------------------------------------------------------------------------------
@@ -217,8 +230,9 @@ def _class(x: np.ndarray) -> int:
 
 
 def survey(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
-    """Of each document: id, n_shingles, class; and of each task the shingles that many of its sets have."""
-    schema = "kind int, id bigint, n bigint, class bigint"
+    """Of each document: id, n_shingles, class, hash of the text; and of each task the shingles that many of its sets have."""
+    schema = "kind int, id bigint, n bigint, class bigint, h bigint"
+    mark = fresh([doc_id, text], "h")[0]
 
     def apply(batches):
         share, seen = [], set()
@@ -228,8 +242,8 @@ def survey(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
             share.clear()
             many = counts >= s.hot_share
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(many.sum(), 1, np.int32)), pa.array(values[many].view(np.int64)), pa.array(counts[many]), pa.nulls(int(many.sum()), pa.int64())],
-                ["kind", "id", "n", "class"],
+                [pa.array(np.full(many.sum(), 1, np.int32)), pa.array(values[many].view(np.int64)), pa.array(counts[many]), pa.nulls(int(many.sum()), pa.int64()), pa.nulls(int(many.sum()), pa.int64())],
+                ["kind", "id", "n", "class", "h"],
             )
 
         held = 0
@@ -237,8 +251,8 @@ def survey(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
             sets = _sets(batch.column(text), s)
             names = [_class(x) for x in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sets), np.int32)), batch.column(doc_id).cast(pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.int64())],
-                ["kind", "id", "n", "class"],
+                [pa.array(np.zeros(len(sets), np.int32)), batch.column(doc_id).cast(pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.int64()), batch.column(mark)],
+                ["kind", "id", "n", "class", "h"],
             )
             for x, c in zip(sets, names):
                 if c not in seen:  # copies within the task don't count
@@ -252,7 +266,7 @@ def survey(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
         if share:
             yield frequent()
 
-    return docs.select(name_of(doc_id), name_of(text)).mapInArrow(apply, schema)
+    return docs.select(name_of(doc_id), name_of(text), F.xxhash64(name_of(text)).alias(mark)).mapInArrow(apply, schema)
 
 
 def signatures(docs: DataFrame, text: str, hot, parts: int, s: Settings) -> DataFrame:
@@ -394,13 +408,8 @@ def possible(a: str, b: str, percent: int):
     return close
 
 
-def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) of classes that are similar, by their whole sets. Sets are made for classes in pairs only."""
-    percent = s.percent
-    pairs = stored(pairs.select("a", "b"), "jaccard-pairs")
-    ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    ends = stored(ends.join(classes, "class"), "jaccard-ends")
-    sets = stored(whole_sets(docs, doc_id, text, ends, s), "jaccard-sets")
+def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are similar, by their whole sets."""
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("items").alias("y"))
 
@@ -418,17 +427,116 @@ def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
 
 
-# --- the join -------------------------------------------------------------------------------------------------------
+def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) of classes that are similar. Sets are made for classes in pairs only."""
+    pairs = stored(pairs.select("a", "b"), "jaccard-pairs")
+    ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    ends = stored(ends.join(classes, "class"), "jaccard-ends")
+    return similar(pairs, stored(whole_sets(docs, doc_id, text, ends, s), "jaccard-sets"), s.percent)
+
+
+# --- keys of many members -------------------------------------------------------------------------------------------
+
+
+def _overlap(n, m, percent: int):
+    """Shingles that two sets of these sizes share at least, if they are similar."""
+    return -(-(percent * (n + m)) // (100 + percent))
+
+
+def tier_filters(sets: DataFrame, s: Settings) -> list[bytes]:
+    """Per tier a bitmap of fixed size with the shingles (by a hash) that so many of the sets have."""
+    volume = sets.agg(F.sum(F.length("items"))).first()[0] or 0
+    parts = max(1, volume // 8 // 20_000_000)
+
+    def count(batches):
+        for batch in slices(batches, "items", 4 << 20):
+            items = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("items")])
+            slots, n = np.unique(items >> np.uint64(24), return_counts=True)
+            cuts = np.searchsorted((slots * np.uint64(parts) >> np.uint64(40)).astype(np.int64), np.arange(parts + 1))
+            rows = [(p, packed_keys(slots[a:b]), planes(n[a:b].astype("<u4"))) for p, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if b > a]
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["part", "slots", "counts"])
+
+    def total(table):
+        slots = np.concatenate([unpacked_keys(c) for c in table.column("slots").to_pylist()])
+        n = np.concatenate([from_planes(c, "<u4") for c in table.column("counts").to_pylist()]).astype(np.int64)
+        order = np.argsort(slots, kind="stable")
+        slots, n = slots[order], n[order]
+        begin = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]])
+        n = np.add.reduceat(n, begin)
+        return pa.table({"slot": slots[begin][n >= s.tiers[0]].astype(np.int64), "n": n[n >= s.tiers[0]]})
+
+    found = sets.select("items").mapInArrow(count, "part bigint, slots binary, counts binary")
+    found = stored(found.groupBy("part").applyInArrow(total, "slot bigint, n bigint"), "jaccard-tiers")
+    return [bit_filter(found.where(F.col("n") >= t), "slot", s.tier_bits) for t in s.tiers]
+
+
+def refined_keys(sets: DataFrame, parts: DataFrame, filters, s: Settings) -> DataFrame:
+    """(key, class, part, n, large): the shingles of a set's rare end, for the sets that it can be the smaller of two
+    similar ones with, and for those that it can be the larger one with."""
+    first = bands(s.refined_ratio)
+
+    def keys(batches):
+        for batch in slices(batches, "items", 2 << 20):
+            out = [[], [], [], [], []]
+            for name, part, cell in zip(batch.column("class").to_pylist(), batch.column("part").to_pylist(), batch.column("items")):
+                items = np.frombuffer(cell.as_buffer(), np.uint64)
+                n, slots = len(items), (items >> np.uint64(24)).astype(np.int64)
+                tier = sum(in_filter(f, slots, s.tier_bits).astype(np.int8) for f in filters.value)
+                order = np.lexsort((items, tier))
+                items, alone = items[order], int((tier == 0).sum())  # shingles of one set come first and meet no other
+                own = int(np.searchsorted(first, n, "right")) - 1
+                ends = [(own, 0, n - _overlap(n, n, s.percent) + 1)]
+                least, k = -(-s.percent * n // 100), own
+                while k >= 0 and int(first[k + 1]) - 1 >= least:
+                    ends.append((k, 1, n - _overlap(n, max(least, int(first[k])), s.percent) + 1))
+                    k -= 1
+                for k, large, end in ends:
+                    some = items[alone:end]
+                    out[0].append(mix(some ^ mix(np.full(1, k + 1, np.uint64))).view(np.int64))
+                    out[4].append(np.full(len(some), large, np.int8))
+                    for column, value in zip(out[1:4], (name, part, n)):
+                        column.append(np.full(len(some), value, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "class", "part", "n", "large"])
+
+    return sets.join(parts, "class").select("class", "part", "items").mapInArrow(keys, "key bigint, class bigint, part bigint, n bigint, large tinyint")
+
+
+def refined_pairs(keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components with a refined key, one as the smaller set, one as the larger."""
+    sizes = keys.groupBy("key", "part").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "part"))["part"].alias("main"))
+    rows = stored(keys.join(main.where("parts > 1").select("key", "main"), "key"), "jaccard-refined")
+    p, q = rows.where("part <> main").alias("p"), rows.alias("q")
+    apart = (F.col("q.part") == F.col("q.main")) | (F.col("p.part") < F.col("q.part"))
+    lower = F.struct("p.n", "p.class") < F.struct("q.n", "q.class")
+    roles = (lower & (F.col("p.large") == 0) & (F.col("q.large") == 1)) | (~lower & (F.col("p.large") == 1) & (F.col("q.large") == 0))
+    pairs = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.part") != F.col("q.part")) & apart & roles)
+    return pairs.select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct()
+
+
+def star(member: DataFrame, sketch: DataFrame, round_: int, percent: int) -> DataFrame:
+    """Each class with the hub that it shares most keys with and may be similar to, (a, b). ``member`` has key, class, part."""
+    order = F.col("class") if round_ == 0 else F.xxhash64(F.lit(round_), "class")
+    hub = member.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("a"), F.col("part").alias("hub_part"))).alias("h")).select("key", "h.a", "h.hub_part")
+    rays = member.join(hub, "key").where("part <> hub_part").groupBy("a", F.col("class").alias("b")).agg(F.count("*").alias("keys"))
+    rays = rays.join(sketch.alias("p"), F.col("a") == F.col("p.class")).join(sketch.alias("q"), F.col("b") == F.col("q.class"))
+    return rays.where(possible("p", "q", percent)).groupBy("b").agg(F.max_by("a", F.struct("keys", "a")).alias("a")).select("a", "b")
+
+
+def apart(keyed: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, class, part, members) of the keys whose members are in different components."""
+    member = keyed.join(label, keyed["class"] == label["node"], "left").select("key", "class", F.coalesce("label", "class").alias("part"))
+    mixed = member.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("members"))
+    return member.join(mixed.where("lo < hi").select("key", "members"), "key")
 
 
-def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the size of its set and the smallest id that links reach.
+# --- the join -------------------------------------------------------------------------------------------------------
 
-    Null and empty texts have the empty set and are linked with nothing: their component is their own id. Ids are
-    whole numbers. A null id is never the smallest; a component of null ids alone has a null id. Repeated rows and
-    rows that share an id are each in the component of their text.
-    """
-    s, spark = settings, docs.sparkSession
+
+def _labelled(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
+    """(id, n, h, part) of every row: size of its set, hash of its text, and the smallest class that links reach."""
+    spark = docs.sparkSession
     found = stored(survey(docs, doc_id, text, s), "jaccard-survey")
     rows = found.where("kind = 0")
     hot = found.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= s.hot_sets)
@@ -443,29 +551,50 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parity = stored(sketches(docs, doc_id, text, wanted, s), "jaccard-sketches")
     sketch = parity.drop("parity")
 
-    # each class to the hub that it shares most keys with; the hub of a key is its smallest member
-    hub = keyed.groupBy("key").agg(F.min("class").alias("a"))
-    star = keyed.join(hub, "key").where(F.col("class") != F.col("a")).groupBy("a", F.col("class").alias("b")).agg(F.count("*").alias("keys"))
-    star = star.join(sketch.alias("p"), F.col("a") == F.col("p.class")).join(sketch.alias("q"), F.col("b") == F.col("q.class"))
-    star = star.where(possible("p", "q", s.percent)).groupBy("b").agg(F.max_by("a", "keys").alias("a"))
-    links = stored(verified(plausible(star.select("a", "b"), parity, s.percent), docs, doc_id, text, classes, s), "jaccard-links")
+    pairs = star(keyed.withColumn("part", F.col("class")), sketch, 0, s.percent)
+    links = stored(verified(plausible(pairs, parity, s.percent), docs, doc_id, text, classes, s), "jaccard-links")
     label = components(links)
 
-    # members of a key in different components
-    member = keyed.join(label, keyed["class"] == label["node"], "left").select("key", "class", F.coalesce("label", "class").alias("part"))
-    mixed = member.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key")
-    open_ = stored(member.join(mixed, "key").join(sketch, "class"), "jaccard-open")
-    p, q = open_.alias("p"), open_.alias("q")
-    apart = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.part") < F.col("q.part")) & possible("p", "q", s.percent))
-    apart = apart.select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct()
-    more = verified(plausible(apart, parity, s.percent), docs, doc_id, text, classes, s)
+    # keys of many members: further hubs, then refined keys; the sets of their classes are made once
+    large = stored(apart(keyed, label).where(F.col("members") > s.small_key), "jaccard-large")
+    names = stored(large.select("class").distinct().join(classes, "class"), "jaccard-large-classes")
+    if names.limit(1).count():
+        sets = stored(whole_sets(docs, doc_id, text, names, s), "jaccard-large-sets")
+        for number in range(1, s.rounds + 1):
+            pairs = star(large, sketch, number, s.percent)
+            more = stored(similar(plausible(pairs, parity, s.percent), sets, s.percent), "jaccard-round")
+            links = links.unionByName(more)
+            label = components(links)
+            large = stored(apart(large.select("key", "class"), label), "jaccard-large")
+        parts = large.select("class", "part").distinct()
+        filters = spark.sparkContext.broadcast(tier_filters(sets, s))
+        pairs = refined_pairs(refined_keys(sets, parts, filters, s)).join(sketch.alias("p"), F.col("a") == F.col("p.class"))
+        pairs = pairs.join(sketch.alias("q"), F.col("b") == F.col("q.class")).where(possible("p", "q", s.percent)).select("a", "b")
+        links = links.unionByName(stored(similar(plausible(pairs, parity, s.percent), sets, s.percent), "jaccard-refined-links"))
+        label = components(links)
+
+    # keys of few members
+    small = stored(apart(keyed, label).where(F.col("members") <= s.small_key).join(sketch, "class"), "jaccard-small")
+    p, q = small.alias("p"), small.alias("q")
+    pairs = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.part") < F.col("q.part")) & possible("p", "q", s.percent))
+    pairs = pairs.select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct()
+    more = verified(plausible(pairs, parity, s.percent), docs, doc_id, text, classes, s)
     label = components(stored(links.unionByName(more), "jaccard-all-links"))
 
-    # the smallest id of each component
-    part = classes.join(label, classes["class"] == label["node"], "left").select("class", "id", F.coalesce("label", "class").alias("part"))
-    least = part.groupBy("part").agg(F.min("id").alias("component"))
-    named = part.join(least, "part").select("class", "component")
-    out = rows.join(named, "class", "left")
+    part = classes.select("class").join(label, classes["class"] == label["node"], "left").select("class", F.coalesce("label", "class").alias("part"))
+    return rows.join(part, "class", "left").select("id", "n", "h", "part")
+
+
+def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: the size of its set and the smallest id that links reach.
+
+    Null and empty texts have the empty set and are linked with nothing: their component is their own id. Ids are
+    whole numbers. A null id is never the smallest; a component of null ids alone has a null id. Repeated rows and
+    rows that share an id are each in the component of their text.
+    """
+    rows = stored(_labelled(docs, doc_id, text, settings), "jaccard-labelled")
+    least = rows.where("n > 0").groupBy("part").agg(F.min("id").alias("component"))
+    out = rows.join(least, "part", "left")
     kind = docs.select(name_of(doc_id)).schema[0].dataType
     return out.select(
         F.col("id").cast(kind).alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")
@@ -473,10 +602,20 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, one row each; rows without words or without id
-    are left as they are."""
-    groups = join_components(docs, doc_id, text, settings).where(name_of(doc_id).isNotNull() & (F.col("n_shingles") > 0))
-    kept = groups.select(name_of(doc_id), (name_of(doc_id) == F.col("component_id")).alias("kept"))
-    kept = kept.groupBy(name_of(doc_id)).agg(F.max("kept").alias("kept"))  # one row for an id
-    gone = kept.where("not kept").select(name_of(doc_id))
-    return docs.join(gone, doc_id, "left_anti").select(*map(name_of, docs.columns))
+    """One row of ``docs`` for each component: that of the smallest id (null comes last), and of rows that share it the one
+    with the smallest hash of its text. Rows that repeat both are one row; where their other columns differ, the smallest
+    hash of all columns but maps decides. Rows without words are in no component and all stay."""
+    rows = stored(_labelled(docs, doc_id, text, settings).where("n > 0"), "jaccard-labelled")
+    texts = rows.groupBy("part", "id", "h").agg(F.count("*").alias("copies"))
+    best = texts.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("best"))
+    gone = ~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("h") == F.col("best.h")))
+    key, own, out_, copies = fresh(docs.columns, "keep_id", "keep_hash", "keep_gone", "keep_copies")
+    fate = stored(texts.join(best, "part").select(F.col("id").alias(key), F.col("h").alias(own), gone.alias(out_), F.col("copies").alias(copies)), "jaccard-fate")
+    names = [name_of(c) for c in docs.columns]
+    mark = fresh([*docs.columns, key, own, out_, copies], "keep_mark")[0]
+    marked = docs.withColumn(mark, F.xxhash64(name_of(text)))
+    marked = marked.join(fate, name_of(doc_id).cast("bigint").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(own)), "left").where(~F.coalesce(F.col(out_), F.lit(False)))
+    repeated = F.coalesce(F.col(copies), F.lit(1)) > 1
+    plain = F.xxhash64(*(name_of(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    first = marked.where(repeated).groupBy(key, own).agg(F.min_by(F.struct(*names), plain).alias("row")).select("row.*")
+    return marked.where(~repeated).select(*names).unionByName(first)
