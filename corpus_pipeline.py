@@ -19,15 +19,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     return quality_model.keep_good(docs, table(spark, folder, "labels"))
 
 
+#: characters of a text, in per cent, that line dedup has to leave: a text of which four fifths stand elsewhere is a near copy
+REMAINS = 20
+
+
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Repeated chunks and passages of lines go; so do documents of which they leave nothing."""
+    """Repeated chunks and passages of lines go; so do documents of which they leave less than ``REMAINS`` per cent."""
     out = line_dedup.dedup(docs, passage_words=line_dedup.PASSAGE_WORDS)
-    emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    rest = F.length(F.trim(F.regexp_replace("text", r"\s+", " ")))
+    emptied = (F.col("n_removed") > 0) & ((rest == 0) | (rest * 100 < F.col("n_before") * REMAINS))
     return out.where(~emptied).select(*map(name_of, docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group stays."""
+    """One row of each group of near duplicates stays."""
     return jaccard_join.keep_one(docs)
 
 
@@ -37,7 +42,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of each document, and digests of them and of the text that they decode to."""
+    """Token counts of each document, and digests of its token ids and of the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(docs, path, public_tokenizers.PATTERN, ["doc_id", "lang", "source"])
 

@@ -305,16 +305,18 @@ def decoded(tokens: DataFrame, path: str, pattern: str, keep: list[str], ids: st
     return tokens.select(*map(name_of, dict.fromkeys([*keep, ids]))).mapInArrow(apply, schema)
 
 
-def _digest(codec: Codec, text: str) -> tuple[int, str, str]:
+def _digest(codec: Codec, text: str) -> tuple[int, str, str, bytes]:
     ids = codec.encode(text)
     back, machine = hashlib.sha256(), Utf8Machine()
     for piece in codec.decode_bytes(ids):
         back.update(machine.feed(piece).encode())
     back.update(machine.finish().encode())
-    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest()
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest(), ids
 
 
-def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns with n_tokens, ids_sha256 and decoded_sha256 of each text, encoded and decoded again."""
+def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text", ids: str | None = None) -> DataFrame:
+    """The kept columns with n_tokens, ids_sha256 and decoded_sha256 of each text, encoded and decoded again, and the ids
+    themselves (little-endian unsigned 32-bit integers) where ``ids`` names a column for them."""
     new = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    new += [(ids, "binary")] if ids else []
     return _mapped(docs, keep, text, new, path, pattern, _digest)

@@ -111,7 +111,7 @@ def pooled(docs: DataFrame, text: str, vectors: np.ndarray, s: Settings, keep: l
 
     def pool(batches):
         rows = shared.value
-        for batch in slices(batches, text, 1 << 20):
+        for batch in slices(batches, text, 1 << 18):
             words, ids = _buckets(batch.column(text), s)
             cells = [x.tobytes() for x in _pool(words, ids, rows)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(cells, pa.binary())], [*keep, feature])
