@@ -4,14 +4,17 @@ Tree. A path is cut into segments. Level by level, from the root of each host:
 
 * a segment that is a number, a hash or a date-like name (it has a digit), or one of many different ones under its
   parent (``variable_children`` or more, none with ``literal_percent`` of the parent's urls), becomes the wildcard ``*``;
-* the other segments stay literal. Literal branches of one parent whose labelled shares are statistically alike
-  (their confidence bounds overlap that of all of them together) are merged into the branch ``~``.
+* the other segments stay literal. Literal branches of one parent that are statistically alike (the confidence bounds
+  of their shares of allowed and of blocked urls overlap those of all of them together) are merged into the branch ``~``.
 
-Below ``depth`` segments the rest of a path is one wildcard segment. So templates are like ``/en/*`` or ``/~/*``.
+So templates are like ``/en/*`` or ``/~/*``. Levels go on until no two paths share a branch, however deep that is; what
+a path has below the last branch it shares is generalised at once, segment by segment, since no sibling has a say there.
 
-Purity. Labels are the rules' own verdicts, counted over all urls. Of a node: (allowed + weight * purity of its parent)
-/ (labelled + weight), from the host's root down, which starts from the purity of all labelled urls of hosts with the
-same last two names, and that from ``prior``. Templates with a purity under ``reject_below`` are blocked.
+Purity. Labels are the rules' own verdicts, counted over all urls. Of a node: (allowed + (unlabelled + weight) * purity
+of its parent) / (all + weight), so urls without a label stand for what is known above them, and a few labels of one
+kind decide where they are, not for the whole host. A node with all urls of its parent has its parent's purity, so no
+label counts twice for want of branches. It starts at the host's root from the purity of all urls of hosts
+with the same last two names, and that from ``prior``. Templates with a purity under ``reject_below`` are blocked.
 
 Tables are grouped by (host, prefix), with counts taken before every shuffle; no list of urls or children is collected.
 
@@ -22,6 +25,7 @@ template is rejected; repeated urls count as often as they occur and get the sam
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +56,6 @@ RULES = (
 
 @dataclass(frozen=True)
 class Settings:
-    depth: int = 6
     variable_children: int = 20
     literal_percent: int = 20
     weight: float = 10.0
@@ -86,69 +89,86 @@ def _variable(segment: Column) -> Column:
     return segment.rlike("[0-9]")
 
 
+def _general(segment: Column) -> Column:
+    return F.when(_variable(segment), F.lit("*")).otherwise(segment)
+
+
 def template_tree(paths: DataFrame, s: Settings) -> DataFrame:
-    """``paths`` (host, path, n, good, bad) with ``template``: arrays of segments, generalised level by level."""
+    """``paths`` (host, path, n, good, bad) with ``template``, an array of segments generalised level by level, and
+    ``shared``: how many of its first segments other paths may have too."""
+    names = ["host", "path", "n", "good", "bad", "segments"]
     segments = F.filter(F.split("path", "/", -1), lambda x: x != "")
-    short = F.when(F.size(segments) > s.depth, F.concat(F.slice(segments, 1, s.depth), F.array(F.lit("*")))).otherwise(segments)
-    tree = paths.withColumn("segments", short).withColumn("template", F.array().cast("array<string>"))
-    for level in range(s.depth + 1):
-        here = tree.withColumn("segment", F.get("segments", F.lit(level)))
-        here = here.withColumn("segment", F.when(_variable(F.col("segment")), F.lit("*")).otherwise(F.col("segment")))
-        child = here.where("segment is not null").groupBy("host", "template", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
-        child = _similar(child, s).select(F.col("host").alias("h"), F.col("template").alias("t"), F.col("segment").alias("g"), "to")
+    rest = stored(paths.withColumn("segments", segments).withColumn("template", F.array().cast("array<string>")), "urls")
+    done, level = [], 0
+    while rest.limit(1).count():
+        depth = F.lit(level)
+        done.append(rest.where(F.size("segments") <= level).select(*names, "template", depth.alias("shared")))
+        here = rest.where(F.size("segments") > level).withColumn("segment", _general(F.get("segments", depth)))
+        child = here.groupBy("host", "template", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")), F.count("*").alias("paths"))
+        child = _similar(child, s).select(F.col("host").alias("h"), F.col("template").alias("t"), F.col("segment").alias("g"), "to", "alone")
         same = (here["host"] == F.col("h")) & (here["template"] == F.col("t")) & (here["segment"] == F.col("g"))
-        step = F.when(F.col("segment").isNotNull(), F.concat("template", F.array(F.coalesce("to", "segment")))).otherwise(F.col("template"))
-        tree = stored(here.join(child, same, "left").select("host", "path", "n", "good", "bad", "segments", step.alias("template")), f"urls-{level}")
-        if not level or level % 2:
-            if tree.where(F.size("segments") > level + 1).limit(1).count() == 0:
-                break
-    return tree.drop("segments")
+        tail = F.transform(F.slice("segments", level + 1, F.size("segments")), _general)
+        step = F.concat("template", F.when(F.col("alone"), tail).otherwise(F.array("to")))
+        after = stored(here.join(child, same).select(*names, step.alias("template"), "alone"), f"urls-{level}")
+        done.append(after.where("alone").select(*names, "template", depth.alias("shared")))
+        rest, level = after.where("not alone").drop("alone"), level + 1
+    if not done:
+        return rest.withColumn("shared", F.lit(0)).drop("segments")
+    return reduce(DataFrame.unionByName, done).drop("segments")
 
 
 def _similar(child: DataFrame, s: Settings) -> DataFrame:
-    """What each segment under its parent becomes: ``*``, ``~`` or itself."""
+    """What each segment under its parent becomes: ``*``, ``~`` or itself; and whether the parent has one path only."""
     literal = (F.col("segment") != "*").cast("long")
     parent = child.groupBy("host", "template").agg(
-        F.sum("n").alias("all"), F.sum(literal).alias("kinds"), F.max(F.when(literal == 1, F.col("n"))).alias("largest"),
-        F.sum(F.when(literal == 1, F.col("good"))).alias("good_all"), F.sum(F.when(literal == 1, F.col("bad"))).alias("bad_all"),
+        F.sum("n").alias("all"), F.sum(literal).alias("kinds"), F.max(F.when(literal == 1, F.col("n"))).alias("largest"), (F.sum("paths") == 1).alias("alone"),
+        *(F.sum(F.when(literal == 1, F.col(c))).alias(f"{c}_all") for c in ("n", "good", "bad")),
     )
-    parent = parent.select(F.col("host").alias("h"), F.col("template").alias("t"), "all", "kinds", "largest", "good_all", "bad_all")
+    parent = parent.select(F.col("host").alias("h"), F.col("template").alias("t"), "all", "kinds", "largest", "alone", "n_all", "good_all", "bad_all")
     both = child.join(parent, (child["host"] == F.col("h")) & (child["template"] == F.col("t")))
     many = (F.col("kinds") >= s.variable_children) & (F.col("largest") * 100 < F.col("all") * s.literal_percent)
-    (low, high), (low_all, high_all) = _bounds(F.col("good"), F.col("bad"), s.z), _bounds(F.col("good_all"), F.col("bad_all"), s.z)
-    alike = (F.col("kinds") > 1) & (low <= high_all) & (high >= low_all)
+    alike = F.col("kinds") > 1
+    for c in ("good", "bad"):
+        (low, high), (low_all, high_all) = _bounds(F.col(c), F.col("n"), s.z), _bounds(F.col(f"{c}_all"), F.col("n_all"), s.z)
+        alike &= (low <= high_all) & (high >= low_all)
     to = F.when((F.col("segment") == "*") | many, F.lit("*")).when(alike, F.lit("~")).otherwise(F.col("segment"))
-    return both.select("host", "template", "segment", to.alias("to"))
+    return both.select("host", "template", "segment", to.alias("to"), "alone")
 
 
-def _bounds(good: Column, bad: Column, z: float) -> tuple[Column, Column]:
-    """Wilson's bounds of the share of good ones; 0 and 1 without labels."""
-    n = (good + bad).cast("double")
-    p = good / F.greatest(n, F.lit(1.0))
+def _bounds(k: Column, n: Column, z: float) -> tuple[Column, Column]:
+    """Wilson's bounds of the share ``k`` of ``n``, which is above 0."""
+    n = n.cast("double")
+    p = k / n
     middle = (p + z * z / (2 * n)) / (1 + z * z / n)
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
-    return F.when(n > 0, middle - half).otherwise(F.lit(0.0)), F.when(n > 0, middle + half).otherwise(F.lit(1.0))
+    return middle - half, middle + half
 
 
 def purity(templates: DataFrame, s: Settings) -> DataFrame:
     """(host, template, purity) by smoothing from the domain over the host's root down to the template."""
-
-    def smooth(good: Column, bad: Column, above) -> Column:
-        return (good + s.weight * above) / (good + bad + s.weight)
-
-    domain = F.substring_index("host", ".", -2)
-    root = templates.groupBy("host").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).withColumn("domain", domain)
-    wide = root.groupBy("domain").agg(smooth(F.sum("good"), F.sum("bad"), F.lit(s.prior)).alias("above"))
-    level = root.join(wide, "domain").select("host", F.array().cast("array<string>").alias("prefix"), smooth(F.col("good"), F.col("bad"), F.col("above")).alias("purity"))
-    out, deepest = level, templates.agg(F.max(F.size("template"))).first()[0] or 0
-    for depth in range(1, deepest + 1):  # s.depth + 1 at most
-        node = templates.where(F.size("template") >= depth).groupBy("host", F.slice("template", 1, depth).alias("prefix"))
-        node = node.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).withColumn("parent", F.slice("prefix", 1, depth - 1))
-        above = level.select(F.col("host").alias("h"), F.col("prefix").alias("parent_"), F.col("purity").alias("above"))
-        level = node.join(above, (node["host"] == F.col("h")) & (node["parent"] == F.col("parent_")))
-        level = level.select("host", "prefix", smooth(F.col("good"), F.col("bad"), F.col("above")).alias("purity"))
-        out = out.union(level)
-    return out.withColumnRenamed("prefix", "template")
+    own = [F.col(c) for c in ("n", "good", "bad")]
+    sums = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
+
+    def smooth(n: Column, good: Column, bad: Column, above: Column) -> Column:
+        return (good + (n - good - bad + s.weight) * above) / (n + s.weight)
+
+    def below(above: Column, urls: Column) -> Column:
+        return F.when(F.col("n") < urls, smooth(*own, above)).otherwise(above)
+
+    root = templates.groupBy("host").agg(*sums).withColumn("domain", F.substring_index("host", ".", -2))
+    wide = root.groupBy("domain").agg(*sums).select("domain", F.col("n").alias("urls"), smooth(*own, F.lit(s.prior)).alias("above"))
+    node = root.join(wide, "domain").withColumn("prefix", F.array().cast("array<string>"))
+    out, deepest = None, templates.agg(F.max("shared")).first()[0] or 0
+    for depth in range(deepest + 1):
+        level = stored(node.select("host", "prefix", F.col("n").alias("urls"), below(F.col("above"), F.col("urls")).alias("above")), f"url-purity-{depth}")
+        out = level if out is None else out.union(level)
+        node = templates.where(F.col("shared") > depth).groupBy("host", F.slice("template", 1, depth + 1).alias("prefix")).agg(*sums)
+        parent = level.withColumnRenamed("prefix", "parent")
+        node = node.withColumn("parent", F.slice("prefix", 1, depth)).join(parent, ["host", "parent"])
+    # what follows the shared part of a template has the same urls in every node
+    ends = templates.withColumn("prefix", F.slice("template", F.lit(1), F.col("shared"))).join(out, ["host", "prefix"])
+    deeper = F.size("template") > F.col("shared")
+    return ends.select("host", "template", F.when(deeper, below(F.col("above"), F.col("urls"))).otherwise(F.col("above")).alias("purity"))
 
 
 def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RULES, settings: Settings = Settings()) -> DataFrame:
@@ -166,7 +186,7 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
         F.count("*").alias("n"), F.count(F.when(F.col("ruled") == "allow", 1)).alias("good"), F.count(F.when(F.col("ruled") == "block", 1)).alias("bad")
     )
     tree = template_tree(paths, s)
-    templates = stored(tree.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), "url-templates")
+    templates = stored(tree.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")), F.max("shared").alias("shared")), "url-templates")
     scored = tree.join(purity(templates, s), ["host", "template"]).select("host", "path", "template", "purity")
     own = F.when(F.col("purity") < s.reject_below, F.lit("block")).otherwise(F.lit("allow"))
     out = rows.join(scored, ["host", "path"])
