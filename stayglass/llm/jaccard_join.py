@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from stayglass.llm.common import fresh, name_of, stored
 from stayglass.llm.components import components
 from stayglass.llm.packing import from_planes, packed_keys, planes, unpacked_keys
-from stayglass.llm.words import SPACED, mix, shingle_hashes, slices, words_of
+from stayglass.llm.words import SPACED, lean, mix, shingle_hashes, slices, words_of
 
 
 @dataclass(frozen=True)
@@ -266,14 +266,14 @@ def survey(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
         if share:
             yield frequent()
 
-    return docs.select(name_of(doc_id), name_of(text), F.xxhash64(name_of(text)).alias(mark)).mapInArrow(apply, schema)
+    return docs.select(name_of(doc_id), name_of(text), F.xxhash64(name_of(text)).alias(mark)).mapInArrow(lean(apply), schema)
 
 
 def signatures(docs: DataFrame, text: str, hot, parts: int, s: Settings) -> DataFrame:
     """Rows (part, keys, classes): packed keys of one part of the key space, from some documents."""
 
     def apply(batches):
-        for batch in slices(batches, text, 16 << 20):
+        for batch in slices(batches, text, 8 << 20):
             sets: dict[int, np.ndarray] = {}
             for piece in slices([batch], text):
                 for x in _sets(piece.column(text), s):
@@ -293,7 +293,7 @@ def signatures(docs: DataFrame, text: str, hot, parts: int, s: Settings) -> Data
                 ["part", "keys", "places", "classes"],
             )
 
-    return docs.select(name_of(text)).mapInArrow(apply, "part int, keys binary, places binary, classes binary")
+    return docs.select(name_of(text)).mapInArrow(lean(apply), "part int, keys binary, places binary, classes binary")
 
 
 def shared_keys(packed: DataFrame) -> DataFrame:
@@ -313,7 +313,7 @@ def shared_keys(packed: DataFrame) -> DataFrame:
         shared = np.r_[False, same] | np.r_[same, False]
         return pa.table({"key": keys[shared].view(np.int64), "class": who[shared]})
 
-    return packed.groupBy("part").applyInArrow(match, "key bigint, class bigint")
+    return packed.groupBy("part").applyInArrow(lean(match), "key bigint, class bigint")
 
 
 def bit_filter(ids: DataFrame, column: str, bits: int) -> bytes:
@@ -351,7 +351,7 @@ def _wanted_texts(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, co
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     names = [x.split()[0] for x in ("class bigint, " + schema).split(", ")]
-    found = docs.select(name_of(doc_id).cast("bigint").alias(doc_id), name_of(text)).mapInArrow(apply, "class bigint, " + schema)
+    found = docs.select(name_of(doc_id).cast("bigint").alias(doc_id), name_of(text)).mapInArrow(lean(apply), "class bigint, " + schema)
     return found.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
 
@@ -397,7 +397,7 @@ def plausible(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
 
     left = sketch.select(F.col("class").alias("a"), "n", F.col("parity").alias("x"))
     right = sketch.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(lean(check), "a bigint, b bigint")
 
 
 def possible(a: str, b: str, percent: int):
@@ -424,7 +424,7 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(check), "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, s: Settings) -> DataFrame:
@@ -466,8 +466,8 @@ def tier_filters(sets: DataFrame, s: Settings) -> list[bytes]:
         n = np.add.reduceat(n, begin)
         return pa.table({"slot": slots[begin][n >= s.tiers[0]].astype(np.int64), "n": n[n >= s.tiers[0]]})
 
-    found = sets.select("items").mapInArrow(count, "part bigint, slots binary, counts binary")
-    found = stored(found.groupBy("part").applyInArrow(total, "slot bigint, n bigint"), "jaccard-tiers")
+    found = sets.select("items").mapInArrow(lean(count), "part bigint, slots binary, counts binary")
+    found = stored(found.groupBy("part").applyInArrow(lean(total), "slot bigint, n bigint"), "jaccard-tiers")
     return [bit_filter(found.where(F.col("n") >= t), "slot", s.tier_bits) for t in s.tiers]
 
 
@@ -499,7 +499,7 @@ def refined_keys(sets: DataFrame, parts: DataFrame, filters, s: Settings) -> Dat
                         column.append(np.full(len(some), value, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "class", "part", "n", "large"])
 
-    return sets.join(parts, "class").select("class", "part", "items").mapInArrow(keys, "key bigint, class bigint, part bigint, n bigint, large tinyint")
+    return sets.join(parts, "class").select("class", "part", "items").mapInArrow(lean(keys), "key bigint, class bigint, part bigint, n bigint, large tinyint")
 
 
 def refined_pairs(keys: DataFrame) -> DataFrame:

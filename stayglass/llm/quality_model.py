@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayglass.llm.common import fold, fresh, name_of, stored, undotted
-from stayglass.llm.words import WITH_SIGNS, Words, mix, slices, sums_by, words_of
+from stayglass.llm.words import WITH_SIGNS, Words, lean, mix, slices, sums_by, words_of
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ def context_sums(texts: DataFrame, column: str, s: Settings) -> np.ndarray:
         arrays = [pa.array(full.astype(np.int32)), *(pa.array(rows[full, i]) for i in range(s.dim))]
         yield pa.RecordBatch.from_arrays(arrays, ["bucket", *names])
 
-    sums = texts.select(name_of(column)).mapInArrow(partial, schema).groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names))
+    sums = texts.select(name_of(column)).mapInArrow(lean(partial), schema).groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names))
     out = np.zeros((1 << s.bucket_bits, s.dim))
     got = sums.toArrow()  # a row for each bucket at most
     out[got.column("bucket").to_numpy()] = np.column_stack([got.column(n).to_numpy() for n in names]) if got.num_rows else 0
@@ -117,7 +117,7 @@ def pooled(docs: DataFrame, text: str, vectors: np.ndarray, s: Settings, keep: l
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(cells, pa.binary())], [*keep, feature])
 
     columns = list(dict.fromkeys([*keep, text]))
-    return docs.select(*map(name_of, columns)).mapInArrow(pool, schema)
+    return docs.select(*map(name_of, columns)).mapInArrow(lean(pool), schema)
 
 
 @dataclass
@@ -235,12 +235,12 @@ def _filtered(docs: DataFrame, text: str, vectors: np.ndarray, net: Network, s:
     docs, names = undotted(docs, text)
 
     def keep(batches):
-        for batch in slices(batches, text, 1 << 20):
+        for batch in slices(batches, text, 1 << 18):
             words, ids = _buckets(batch.column(text), s)
             x = _pool(words, ids, shared.value).astype(np.float64)
             yield batch.filter(pa.array(net.scores(x) >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema).toDF(*names)
+    return docs.mapInArrow(lean(keep), docs.schema).toDF(*names)
 
 
 def held_out(id_column):
