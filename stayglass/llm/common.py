@@ -36,6 +36,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: bytes of a record batch between the JVM and Python; the default counts 10,000 rows or 64 MB
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Record batches of ``BATCH_BYTES`` at most, unless the session has a setting of its own. Rows of long texts or of
+    pairs of sets fill a default batch, which stands in the JVM's direct memory and in the worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) == "67108864b":  # the default
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def fold(id_column, parts: int):
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % parts

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayglass.llm.common import fresh, name_of, stored
+from stayglass.llm.common import bound_batches, fresh, name_of, stored
 from stayglass.llm.components import components
 from stayglass.llm.packing import from_planes, packed_keys, planes, unpacked_keys
 from stayglass.llm.words import SPACED, lean, mix, shingle_hashes, slices, words_of
@@ -537,6 +537,7 @@ def apart(keyed: DataFrame, label: DataFrame) -> DataFrame:
 def _labelled(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
     """(id, n, h, part) of every row: size of its set, hash of its text, and the smallest class that links reach."""
     spark = docs.sparkSession
+    bound_batches(spark)
     found = stored(survey(docs, doc_id, text, s), "jaccard-survey")
     rows = found.where("kind = 0")
     hot = found.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= s.hot_sets)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayglass.llm.common import fold, fresh, name_of, stored, undotted
+from stayglass.llm.common import bound_batches, fold, fresh, name_of, stored, undotted
 from stayglass.llm.words import WITH_SIGNS, Words, lean, mix, slices, sums_by, words_of
 
 
@@ -54,6 +54,7 @@ def _buckets(texts, s: Settings):
 
 def context_sums(texts: DataFrame, column: str, s: Settings) -> np.ndarray:
     """Sum of the neighbours' index vectors for every bucket, over all texts."""
+    bound_batches(texts.sparkSession)
     names = [f"d{i}" for i in range(s.dim)]
     schema = "bucket int, " + ", ".join(f"{n} bigint" for n in names)
 
