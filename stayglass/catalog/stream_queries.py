@@ -30,3 +30,10 @@ def stream_daily_counts(spark, folder):
     counts = ingest.daily_counts_stream(_event_stream(spark, folder), "ts", "1 hour")
     out = ingest.run_available(counts, work_path(spark, "daily"), work_path(spark, "daily-state"))
     return spark.read.parquet(out).select("day", F.col("n").cast("bigint").alias("n"))
+
+
+@register("stream_daily_totals", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_daily_totals(spark, folder):
+    table = work_path(spark, "totals")
+    ingest.maintain_daily_counts(_event_stream(spark, folder), "ts", table, work_path(spark, "totals-state"), ["event_type"])
+    return ingest.daily_counts(spark, table).select("day", "event_type", "n")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayglass.functions.buckets import bucket_right_closed
+from stayglass.operators.comoments import correlations
 from stayglass.operators.quantiles import exact_quantiles, values_at_ranks
 from stayglass.operators.rows import in_top_categories, top_k, union_by_name
 
@@ -169,29 +170,12 @@ def pearson(x: str | Column, y: str | Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), spread)
 
 
-def _chunks(items: list) -> list[list]:
-    """Few correlations per aggregate: past 100 buffer fields Spark gives up generated code, which
-    costs far more than reading the columns again."""
-    return [items[i:i + 8] for i in range(0, len(items), 8)]
-
-
 def correlation_ranking(df: DataFrame, features: Sequence[str], target: str, min_rows: int = 10) -> DataFrame:
     """Pearson r with the target on pairwise complete rows, one row per feature with enough rows.
 
-    Rows with a null on either side are skipped per feature, so features share a pass.
+    Rows with a null or NaN on either side are skipped per feature; all features share one scan.
     """
-    def part(chunk: Sequence[str]) -> DataFrame:
-        facts = df.agg(*[c for i, f in enumerate(chunk) for c in (
-            pearson(f, target).alias(f"r{i}"),
-            F.count_if(F.col(f).isNotNull() & F.col(target).isNotNull()).alias(f"n{i}"),
-        )])
-        rows = F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
-            for i, f in enumerate(chunk)
-        ])
-        return facts.select(F.inline(rows))
-
-    found = union_by_name(*[part(c) for c in _chunks(list(features))])
+    found = correlations(df, list(features), [target]).withColumnRenamed("x", "feature")
     return found.where((F.col("n") > min_rows) & F.col("r").isNotNull()).select(
         "feature", "r", "n",
         strength_label(F.col("r")).alias("strength"),
@@ -200,24 +184,12 @@ def correlation_ranking(df: DataFrame, features: Sequence[str], target: str, min
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form, all ordered pairs: each unordered pair is computed once.
+    """Long form, all ordered pairs, in one scan.
 
     A varying column correlates with itself by 1; constant columns have no correlation.
     """
-    def part(chunk: Sequence[tuple[str, str]]) -> DataFrame:
-        facts = df.agg(*[pearson(x, y).alias(f"r{i}") for i, (x, y) in enumerate(chunk)])
-        return facts.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"))
-            for i, (x, y) in enumerate(chunk) for a, b in ((x, y), (y, x))
-        ])))
-
-    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i + 1:]]
-    varies = df.agg(*[(F.max(c) > F.min(c)).alias(f"v{i}") for i, c in enumerate(columns)])
-    diagonal = varies.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.when(F.col(f"v{i}"), F.lit(1.0)).alias("r"))
-        for i, c in enumerate(columns)
-    ])))
-    return union_by_name(*[part(c) for c in _chunks(pairs)], diagonal)
+    itself = (F.col("x") == F.col("y")) & F.col("r").isNotNull()
+    return correlations(df, list(columns), list(columns)).select("x", "y", F.when(itself, 1.0).otherwise(F.col("r")).alias("r"))
 
 
 def trend_line(df: DataFrame, y: str, x: str) -> DataFrame:

@@ -31,6 +31,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder or file and all below it."""
+    hadoop_path, fs = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files matching a glob, sorted."""
     hadoop_path, fs = _path(spark, pattern)

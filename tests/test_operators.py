@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayglass.operators import columns as cols
-from stayglass.operators import encode, profile, ranks, rows, splits
+from stayglass.operators import comoments, encode, profile, ranks, rows, splits
 from stayglass.operators.quantiles import exact_quantiles
 
 D = dt.date
@@ -181,6 +181,46 @@ def test_correlations(spark):
     assert {(r["feature"], r["n"], r["direction"]) for r in ranking} == {("b", 40, "positive"), ("c", 20, "negative")}
 
 
+def test_co_moments_equal_plain_sums_over_tasks(spark):
+    """Missing values, constants among the common rows, far-off means, sorted tasks; one scan of the input."""
+    random = np.random.default_rng(5)
+    n = 3000
+    table = {
+        "a.b": random.normal(1e9, 1.0, n), "c": np.arange(n) * 1e-3, "d": random.integers(0, 3, n).astype(float),
+        "k": np.full(n, 0.1), "only": np.where(np.arange(n) == 7, 2.0, np.nan), "gone": np.full(n, np.nan),
+    }
+    table["d"][::3] = np.nan
+    table["e"] = np.where(np.isnan(table["d"]), table["c"], 0.3)  # constant wherever d is
+    table["e"][5] = np.nan
+    table["far"] = np.where(np.arange(n) == 0, 1e12, table["c"] + 1)
+    names = list(table)
+    rows_ = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(zip(*table.values()))]
+    df = spark.createDataFrame(rows_, ", ".join(f"`{c}` double" for c in names)).repartitionByRange(7, "c")
+    found = comoments.correlations(df, names, names)
+    assert sum("Scan" in x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "ExistingRDD" in x) == 1
+    got = {(r["x"], r["y"]): r for r in found.collect()}
+    assert len(got) == len(names) ** 2
+    for a in names:
+        for b in names:
+            both = ~np.isnan(table[a]) & ~np.isnan(table[b])
+            x, y = table[a][both], table[b][both]
+            assert got[a, b]["n"] == both.sum()
+            if len(x) < 2 or np.ptp(x) == 0 or np.ptp(y) == 0:
+                assert got[a, b]["r"] is None, (a, b)
+            else:
+                # a mean held in one double is off by up to its last digit, which counts against the spread
+                limit = 1e-9 + sum(np.spacing(abs(v).max()) / v.std() for v in (x, y))
+                assert got[a, b]["r"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=limit), (a, b)
+
+
+def test_co_moments_of_no_rows_and_of_infinities(spark):
+    none = spark.createDataFrame([], "a double, b double")
+    assert [tuple(r) for r in comoments.correlations(none, ["a"], ["b"]).collect()] == [("a", "b", 0, None)]
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (float("inf"), 4.0, None), (3.0, 7.0, 1.0)], "a double, b double, c double")
+    got = {r["y"]: (r["n"], r["r"]) for r in comoments.correlations(df, ["a"], ["b", "c"]).collect()}
+    assert got == {"b": (3, None), "c": (2, pytest.approx(-1.0))}
+
+
 def test_deny_table_and_union(spark):
     df = spark.createDataFrame([("A",), ("b",), (None,)], "h string")
     deny = spark.createDataFrame([("a",)], "n string")

@@ -161,6 +161,33 @@ def test_stream_daily_counts_equal_batch(spark):
     assert got == {d: n for d, n in batch.items() if d < last}
 
 
+def test_maintained_counts_follow_late_rows_and_survive_a_repeated_batch(spark):
+    folder, table, state = (work_path(spark, x) for x in ("late", "late-counts", "late-state"))
+    day, schema, seen = dt.datetime(2025, 10, 1), "ts timestamp, `a.b` string", []
+    drops = [
+        [(day + dt.timedelta(hours=9 * i), "xy"[i % 2]) for i in range(20)],
+        [(day + dt.timedelta(days=30), "x")] * 3 + [(None, "y"), (day, None)],
+        [(day + dt.timedelta(hours=1), "x")] * 2 + [(day - dt.timedelta(days=400), "y")],  # very late
+        [(day, "x")],
+    ]
+    for number, drop in enumerate(drops):
+        rows = spark.createDataFrame(drop, schema).coalesce(1)
+        rows.write.mode("append").parquet(folder)
+        stream = ingest.file_stream(spark, folder, rows.schema, files_per_trigger=1)
+        ingest.maintain_daily_counts(stream, "ts", table, state, ["a.b"])
+        seen += drop
+        want = {}
+        for ts, kind in seen:
+            key = (ts and ts.date(), kind)
+            want[key] = want.get(key, 0) + 1
+        for repeat in range(2):
+            assert {(r[0], r[1]): r[2] for r in ingest.daily_counts(spark, table).select("day", "`a.b`", "n").collect()} == want
+            ingest.merge_daily_counts(rows, number, "ts", table, ["a.b"])  # as after a lost driver
+    assert len(files.list_files(spark, f"{table}/v*/_SUCCESS")) == ingest.KEPT_VERSIONS
+    with pytest.raises(FileNotFoundError):
+        ingest.daily_counts(spark, work_path(spark, "nothing"))
+
+
 def test_header_with_quoted_comma_and_a_name_twice(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('name,"price, usd",city\nInn,12,Rome\n')
