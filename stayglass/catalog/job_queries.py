@@ -18,6 +18,7 @@ from stayglass.plans import features as feature_plan
 from stayglass.plans import fix_distances, profile, train
 from stayglass.plans import transform as transform_plan
 from stayglass.plans.unify import unify
+from stayglass.session import work_path
 from stayglass.sources import files
 from stayglass.sources import tables as t
 
@@ -150,19 +151,36 @@ def job_model_table(spark, folder):
     return table.agg(F.count(F.lit(1)).alias("n")).withColumn("features", F.lit(len(kept)).cast("bigint"))
 
 
-@register("job_fix_distances", f"""
+FIXED = f"""
 WITH {STAYS}, s AS (
   SELECT stay_id, lat, lon, CASE WHEN stay_id % 4 <> 0 THEN {miles('lat', 'lon', '43.6452::DOUBLE', '-79.3806::DOUBLE')} + (stay_id % 7) / 100.0::DOUBLE END AS dist FROM stays),
 p(ord, plat, plon) AS (VALUES {", ".join(f"({i}, {a}::DOUBLE, {o}::DOUBLE)" for i, (_, a, o) in enumerate(fv.ATTRACTIONS))}),
 c AS (SELECT ord, plat, plon, corr({miles('lat', 'lon', 'plat', 'plon')}, dist) AS r FROM s, p WHERE lat IS NOT NULL AND dist IS NOT NULL GROUP BY ALL),
 b AS (SELECT plat, plon FROM c ORDER BY r DESC, ord LIMIT 1)
-SELECT stay_id, {rd(f"coalesce(dist, {miles('lat', 'lon', 'plat', 'plon')})")} AS distance FROM s, b""")
-def job_fix_distances(spark, folder):
+SELECT stay_id, {rd(f"coalesce(dist, {miles('lat', 'lon', 'plat', 'plon')})")} AS distance FROM s, b"""
+
+
+def _recorded(spark, folder):
     recorded = geo.haversine_miles(F.col("lat"), F.col("lon"), F.lit(43.6452), F.lit(-79.3806)) + (F.col("stay_id") % 7) / 100.0
-    stays = t.stays(spark, folder).select(
+    return t.stays(spark, folder).select(
         "stay_id", "lat", "lon", F.when(F.col("stay_id") % 4 != 0, recorded).alias("distance")
     )
-    return tidy(fix_distances.fix_distances(stays, "lat", "lon", "distance").select("stay_id", "distance"))
+
+
+@register("job_fix_distances", FIXED)
+def job_fix_distances(spark, folder):
+    fixed = fix_distances.fix_distances(_recorded(spark, folder), "lat", "lon", "distance")
+    return tidy(fixed.select("stay_id", "distance"))
+
+
+@register("job_fix_distances_check", f"""
+SELECT count(distance) AS with_value, count(*) FILTER (distance BETWEEN {fv.PLAUSIBLE_MILES[0]} AND {fv.PLAUSIBLE_MILES[1]}) AS plausible,
+  count(*) FILTER (distance NOT BETWEEN {fv.PLAUSIBLE_MILES[0]} AND {fv.PLAUSIBLE_MILES[1]}) AS implausible,
+  {rd('min(distance)')} AS min_value, {rd('max(distance)')} AS max_value FROM ({FIXED})""")
+def job_fix_distances_check(spark, folder):
+    """The whole job: the table is written, fixed in place and checked as written."""
+    path = files.write_table(_recorded(spark, folder), work_path(spark, "distances"))
+    return tidy(fix_distances.run(spark.read.parquet(path), path, lat="lat", lon="lon", distance="distance"))
 
 
 def _profile_sql() -> str:

@@ -101,14 +101,20 @@ def calendar_flag(df: DataFrame, start: str, end: str, calendar: DataFrame, day:
                   name: str) -> DataFrame:
     """Does a calendar day fall in the closed range? Null or reversed ranges do not.
 
-    The calendar is a dimension of distinct days, so it comes in as one array and the rows are
-    neither exploded nor shuffled.
+    Every date of the calendar's span is listed with the next calendar day from it on, so a row takes one lookup by its
+    start. That table has one row per date: Spark broadcasts it if it is small and copes with hot starts if it isn't.
     """
-    days = calendar.select(F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct().agg(
-        F.sort_array(F.collect_list("_day"))
-    ).scalar()
-    hit = F.exists("_days", lambda d: (d >= F.col(start)) & (d <= F.col(end)))
-    return df.withColumn("_days", days).withColumn(name, F.coalesce(hit, F.lit(False))).drop("_days")
+    days = calendar.select(F.col(day).cast("date").alias("_next")).where("_next IS NOT NULL")
+    days = days.agg(F.sort_array(F.collect_set("_next")).alias("_next")).where(F.size("_next") > 0)
+    before = F.concat(F.array(F.date_sub(F.get("_next", F.lit(0)), 1)), F.slice("_next", 1, F.size("_next") - 1))
+    gaps = days.withColumn("_before", before).select(F.inline(F.arrays_zip("_before", "_next")))
+    ahead = gaps.select(F.explode(F.sequence(F.date_add("_before", 1), F.col("_next"))).alias("_day"), "_next")
+    first = calendar.agg(F.min(F.col(day).cast("date"))).scalar()
+    begin = F.col(start).cast("date")
+    begin = F.when(F.col(start) > begin, F.date_add(begin, 1)).otherwise(begin)  # a time of day is past its date
+    keyed = df.withColumn("_day", F.when(begin.isNotNull(), F.greatest(begin, first)))
+    hit = F.coalesce(F.col("_next") <= F.col(end), F.lit(False))
+    return keyed.join(ahead, "_day", "left").withColumn(name, hit).drop("_day", "_next")
 
 
 def day_pairs(stays: DataFrame, events: DataFrame, checkin: str, checkout: str, lat: str, lon: str,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from stayglass import fixed_values as fv
 from stayglass.operators.joins import best_reference_point, infer_reference_point
-from stayglass.operators.rows import fill_missing_distance
+from stayglass.operators.rows import fill_missing_distance, plausibility_report
 from stayglass.sources.files import replace_table
 
 
@@ -20,6 +20,9 @@ def fix_distances(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
     return fill_missing_distance(df, lat, lon, distance, (p_lat, p_lon))
 
 
-def run(df: DataFrame, path: str, copy_to: str | None = None, **names: str) -> str:
-    """Fix and replace the table at ``path``, which ``df`` may have been read from."""
-    return replace_table(fix_distances(df, **names), path, copy_to)
+def run(df: DataFrame, path: str, copy_to: str | None = None, distance: str = "Distance from attraction",
+        bounds: tuple[float, float] = fv.PLAUSIBLE_MILES, **names: str) -> DataFrame:
+    """Fix and replace the table at ``path``, which ``df`` may have been read from. The check of the distances written:
+    how many there are, how many lie inside and outside of ``bounds``, the least and the most."""
+    replace_table(fix_distances(df, distance=distance, **names), path, copy_to)
+    return plausibility_report(df.sparkSession.read.parquet(path), distance, *bounds)

@@ -154,6 +154,27 @@ def test_calendar_flag_closed_range(spark):
     assert {r["i"]: r["h"] for r in j.calendar_flag(s, "ci", "co", c, "day", "h").collect()} == {1: True, 2: False, 3: False, 4: False}
 
 
+def test_calendar_flag_equals_brute_force(spark):
+    """Ranges before, in and after a calendar with gaps, a repeated and a null day; times of day; a hot start."""
+    rng = random.Random(3)
+    calendar = [D(2025, 1, 10), D(2025, 1, 10), D(2025, 1, 11), D(2025, 3, 2), D(2026, 2, 28), None]
+    ranges = []
+    for i in range(400):
+        begin = dt.datetime(2024, 12, 20) + dt.timedelta(days=rng.randrange(480), hours=rng.choice([0, 0, 13]))
+        begin = dt.datetime(2025, 1, 9) if i % 3 == 0 else begin
+        end = None if i % 50 == 0 else (begin + dt.timedelta(days=rng.randrange(-2, 30))).date()
+        ranges.append((i, None if i % 41 == 0 else begin, end))
+    df = spark.createDataFrame(ranges, "i int, begin timestamp, fin date")
+    for days in (calendar, [], [None]):
+        c = spark.createDataFrame([(d,) for d in days], "day date")
+        got = j.calendar_flag(df, "begin", "fin", c, "day", "h")
+        assert got.columns == ["i", "begin", "fin", "h"]
+        want = {i: bool(a and b and any(d and dt.datetime(d.year, d.month, d.day) >= a and d <= b for d in days)) for i, a, b in ranges}
+        assert {r["i"]: r["h"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
 def test_mode_ties_and_nulls(spark):
     df = spark.createDataFrame([(1, x) for x in "baba"] + [(2, None), (2, None)], "g int, v string")
     assert {r["g"]: r["m"] for r in sf.group_mode(df, ["g"], "v", "m").collect()} == {1: "a", 2: "Unknown"}

@@ -127,7 +127,8 @@ def test_fix_distances_job(spark):
     rows = [(i, 43.60 + i % 7 / 50, -79.5 + i % 5 / 40, 1.0 * i if i % 2 else None) for i in range(40)]
     path = files.write_table(spark.createDataFrame(rows, "i int, latitude double, longitude double, `Distance from attraction` double"),
                              work_path(spark, "fix"))
-    fix_distances.run(spark.read.parquet(path), path)
+    check = fix_distances.run(spark.read.parquet(path), path, bounds=(0.0, 3.0)).first()
+    assert check["with_value"] == 40 and check["plausible"] + check["implausible"] == 40 and check["min_value"] <= 3.0
     got = {r["i"]: r["Distance from attraction"] for r in spark.read.parquet(path).collect()}
     assert len(got) == 40 and got[3] == 3.0 and all(v is not None for v in got.values())
 
