@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from stayglass import fixed_values as fv
 from stayglass.functions.dates import days_within
-from stayglass.operators.joins import day_bounds, interval_join, rounded_km
+from stayglass.operators.joins import day_bounds
+from stayglass.operators.spell_distances import spell_distances
 from stayglass.session import work_path
 
 STAY = {"checkin": "checkin", "checkout": "checkout", "lat": "lat", "lon": "lon"}
@@ -120,24 +121,18 @@ def distance_features(stays: DataFrame, events: DataFrame, stay: Mapping[str, st
     ).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(event["score"]).alias("_sum"),
-        F.max(event["score"]).alias("_max"),
-    )
-    km = rounded_km(F.col(spell[2]), F.col(spell[3]), F.col("_event_lat"), F.col("_event_lon"))
-    # whole hundredths of a kilometre: one number for all figures, and sums that are exact in any order
-    pairs = interval_join(spells, points, spell[0], spell[1], "_event_day", ["_spell"]).select(
-        "_spell", "_n", "_sum", "_max", F.floor(km * 100 + 0.5).alias("_h")
+        F.coalesce(F.max(event["score"]) >= fv.MAJOR_EVENT_SCORE, F.lit(False)).alias("_is_major"),
     )
-    near = F.col("_h") / 100
-    # One exchange, by the spell's number; all pairs of a spell and day are reduced in the task that joins them.
-    # ``percentile`` keeps a count per distinct value: two-decimal distances on earth are two million at most.
-    facts = pairs.groupBy("_spell").agg(
-        (F.min("_h") / 100).alias("min_distance_to_event"),
-        (F.max("_h") / 100).alias("max_distance_to_event"),
-        (F.sum(F.col("_h") * F.col("_n")) / (F.sum("_n") * F.lit(100.0))).alias("_avg"),
+    # One row or two per spell: the figures come with the two middle distances, whose median is that of all.
+    # Only a spell whose events are dealt over several tasks has a row per distance and task.
+    facts = spell_distances(spells, points, spell).groupBy("_spell").agg(
+        (F.min("_least") / 100).alias("min_distance_to_event"),
+        (F.max("_most") / 100).alias("max_distance_to_event"),
+        (F.sum("_total") / (F.sum("_events") * F.lit(100.0))).alias("_avg"),
         # half the sum of two whole hundredths, so the median rounds the same way everywhere
         (F.percentile("_h", F.lit(0.5), F.col("_n")) / 100).alias("_median"),
-        F.coalesce(F.sum(F.col("_sum") / (near + fv.WEIGHT_OFFSET_KM)), F.lit(0.0)).alias("_weighted"),
-        (F.min(F.when(F.col("_max") >= fv.MAJOR_EVENT_SCORE, F.col("_h"))) / 100).alias("distance_to_closest_major_event"),
+        F.coalesce(F.sum("_weight"), F.lit(0.0)).alias("_weighted"),
+        (F.min("_major") / 100).alias("distance_to_closest_major_event"),
     ).join(spells, "_spell")
     nearby = F.col("min_distance_to_event")
     weighted = F.round("_weighted", 2)

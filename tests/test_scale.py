@@ -47,3 +47,47 @@ def test_interval_join_meets_reduced_sides(spark, folder, monkeypatch):
     assert rows(got) == rows(plain) and got.agg(F.sum("pairs")).first()[0] > 3000
     assert met[0][0] <= stays.select("checkin", "checkout").distinct().count() < 300
     assert met[0][1] <= events.select("day", "segment").distinct().count() < 300
+
+
+@pytest.mark.parametrize(("days", "events_per_task", "pairs_per_task", "matrix"), [(16, 10**6, 10**9, 10**6), (4, 40, 500, 30), (1, 7, 50, 1), (2, 10**6, 10**9, 10**6)])
+def test_distances_of_a_spell_are_reduced_where_they_are_made(spark, monkeypatch, days, events_per_task, pairs_per_task, matrix):
+    """Long and short ranges, hot days, points near and far; two rows a spell, unless a chunk's events go over several tasks."""
+    from stayglass.operators import spell_distances as sd
+
+    monkeypatch.setattr(sd, "MATRIX", matrix)
+    draw = random.Random(days)
+    spells, points = [], {}
+    for i in range(150):
+        first = DAY0.date() + dt.timedelta(days=draw.randint(-5, 60) if i % 3 else 20)
+        last = dt.date(9999, 12, 31) if i == 7 else first + dt.timedelta(days=draw.choice([1, 1, 2, 3, 5, 17, 40]))
+        spells.append((i, first, last, 43.6 + draw.randint(0, 4) / 100, -79.4 + draw.randint(0, 2) / 100))
+    for i in range(400):
+        day = DAY0.date() + dt.timedelta(days=draw.randint(0, 55) if i % 3 else 21)
+        at = (day, 43.6 + draw.randint(0, 9) / 100, -79.5 + draw.randint(0, 9) / 100) if i % 50 else (day, float("nan"), 10.0 + i)
+        points[at] = (*at, draw.randint(1, 5), draw.choice([None, 1.0, 2.5, 7.25]), draw.random() < 0.1)
+    s = spark.createDataFrame(spells, "_spell long, a date, b date, lat double, lon double")
+    e = spark.createDataFrame(list(points.values()), "_event_day date, _event_lat double, _event_lon double, _n long, _sum double, _is_major boolean")
+    got = sd.spell_distances(s, e, ["a", "b", "lat", "lon"], days, events_per_task, pairs_per_task).cache()
+    figures = got.groupBy("_spell").agg(
+        F.min("_least"), F.max("_most"), F.sum("_total").cast("long"), F.sum("_events"), F.percentile("_h", F.lit(0.5), F.col("_n")),
+        F.round(F.sum("_weight"), 6), F.min("_major"))
+    pairs = s.crossJoin(F.broadcast(e)).where("_event_day >= a AND _event_day < b").withColumn(
+        "h", F.floor(j.rounded_km(F.col("lat"), F.col("lon"), F.col("_event_lat"), F.col("_event_lon")) * 100 + 0.5))
+    plain = pairs.groupBy("_spell").agg(
+        F.min("h"), F.max("h"), F.sum(F.col("h") * F.col("_n")), F.sum("_n"), F.percentile("h", F.lit(0.5), F.col("_n")),
+        F.round(F.coalesce(F.sum(F.col("_sum") / (F.col("h") / 100 + 0.1)), F.lit(0.0)), 6), F.min(F.when(F.col("_is_major"), F.col("h"))))
+    assert rows(figures) == rows(plain)
+    if events_per_task > 400:
+        assert got.count() == 2 * figures.count()  # not one per pair
+
+
+def test_spatial_features_exchange_no_pairs(spark):
+    """400 ranges of one day meet 400 event points: 160,000 pairs, of which the exchange by spell sees two rows each at most."""
+    from stayglass.operators import stay_features as sf
+
+    stays = spark.range(400).selectExpr("43.6 + id / 1000 as lat", "-79.4D as lon", "date'2024-05-01' as checkin", "date'2024-05-02' as checkout")
+    events = spark.range(400).selectExpr("cast(id as double) as score", "'A' as segment", "43.7 + id / 1000 as event_lat", "-79.5D as event_lon", "date'2024-05-01' as day")
+    out = sf.distance_features(stays, events)
+    assert out.count() == 400
+    plan = sf.distance_features(stays, events)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "explode(_day)" not in plan
