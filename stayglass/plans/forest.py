@@ -30,6 +30,7 @@ from stayglass.session import work_path
 NODES = "tree int, node bigint, feature int, cut int, value double, gain double, weight double"
 
 
+BLOCK = 250_000  # rows that a task holds at a time
 CLOSE = 1e-7  # gains this close are equal; the lowest feature and cut are taken
 
 
@@ -136,12 +137,31 @@ def _cells(node: np.ndarray, bins: np.ndarray, w: np.ndarray, wy: np.ndarray):
     return key[first] // 256, key[first] % 256, np.add.reduceat(w[order], first), np.add.reduceat(wy[order], first)
 
 
+def _best_dense(base: np.ndarray, bins: np.ndarray, w: np.ndarray, wy: np.ndarray, nodes: int, width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_best_cuts`` by one histogram of ``nodes`` times ``width`` cells; ``base`` is a row's first cell."""
+    key = base + bins
+    left_w = np.cumsum(np.bincount(key, w, nodes * width).reshape(nodes, width), axis=1)
+    left_y = np.cumsum(np.bincount(key, wy, nodes * width).reshape(nodes, width), axis=1)
+    total_w, total_y = left_w[:, -1:], left_y[:, -1:]
+    right_w, right_y = total_w - left_w, total_y - left_y
+    fits = (left_w >= least) & (right_w >= least)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(fits, left_y**2 / left_w + right_y**2 / right_w - total_y**2 / total_w, -1.0)
+    top = gain.max(axis=1)
+    # an empty bin repeats the gain of the one before it, so the first of equal cuts is never an empty one
+    cut = (gain >= (top - np.abs(top) * CLOSE)[:, None]).argmax(axis=1)
+    good = top > 1e-12
+    return np.where(good, top, 0.0), np.where(good, cut, -1)
+
+
 def grow(tree: int, root: int, bins: np.ndarray, y: np.ndarray, w: np.ndarray, s: ForestSettings) -> list[np.ndarray]:
     """Columns of the nodes of a subtree, level by level over all its rows. ``y`` is centred for exact enough sums."""
     centre = float(np.average(y, weights=w))
     y, w = y - centre, w.astype(np.float64)
     heap, node = np.array([root], np.int64), np.zeros(len(y), np.int64)
     out, features = [], bins.shape[1]
+    bins = np.ascontiguousarray(bins.T)  # a feature's bins together
+    width = int(bins.max(initial=0)) + 1
     while len(heap):
         level = int(heap[0]).bit_length() - 1
         wy = w * y
@@ -150,17 +170,22 @@ def grow(tree: int, root: int, bins: np.ndarray, y: np.ndarray, w: np.ndarray, s
         best, feature, cut = np.zeros(len(heap)), np.full(len(heap), -1), np.full(len(heap), -1)
         if level < s.depth:
             tried = _chosen(tree, heap, features, s)
+            # deep levels have fewer rows than cells
+            dense, base = len(heap) * width <= max(4 * len(node), 4096), node * width
             for j in range(features):
                 some = slice(None) if tried[:, j].all() else np.flatnonzero(tried[node, j])
-                gain, at = _best_cuts(*_cells(node[some], bins[some, j], w[some], wy[some]), len(heap), s.least)
+                if dense:
+                    gain, at = _best_dense(base[some], bins[j, some], w[some], wy[some], len(heap), width, s.least)
+                else:
+                    gain, at = _best_cuts(*_cells(node[some], bins[j, some], w[some], wy[some]), len(heap), s.least)
                 better = gain > best * (1 + CLOSE)
                 best[better], feature[better], cut[better] = gain[better], j, at[better]
         out.append((np.full(len(heap), tree), heap, feature, cut, value + centre, best, total))
         split = feature >= 0
         place = np.cumsum(split) - 1
         keep = split[node]
-        bins, y, w, node = bins[keep], y[keep], w[keep], node[keep]
-        right = bins[np.arange(len(node)), feature[node]] > cut[node]
+        bins, y, w, node = bins[:, keep], y[keep], w[keep], node[keep]
+        right = bins[feature[node], np.arange(len(node))] > cut[node]
         node = place[node] * 2 + right
         heap = np.repeat(heap[split] * 2, 2) + np.tile([0, 1], int(split.sum()))
     return [np.concatenate(c) for c in zip(*out)]
@@ -172,26 +197,52 @@ def _node_table(columns) -> pa.Table:
     return pa.table({n: pa.array(np.asarray(c), k) for n, c, k in zip(names, columns, kinds)})
 
 
-def _descend(splits: dict[int, tuple[int, int]], bins: np.ndarray) -> np.ndarray:
-    """The node without a split, so far, that each row reaches."""
-    node = np.ones(len(bins), np.int64)
-    going = np.arange(len(bins))
-    while len(going):
-        known = np.unique(node[going])
-        inside = [n for n in known.tolist() if n in splits]
-        if not inside:
-            break
-        at = np.searchsorted(known, node[going])
-        feature = np.array([splits.get(n, (-1, 0))[0] for n in known.tolist()])[at]
-        cut = np.array([splits.get(n, (-1, 0))[1] for n in known.tolist()])[at]
-        going, feature, cut = going[feature >= 0], feature[feature >= 0], cut[feature >= 0]
-        node[going] = node[going] * 2 + (bins[going, feature] > cut)
-    return node
+def _compiled(splits: dict[int, tuple[int, int]]) -> tuple[np.ndarray, ...]:
+    """A tree as arrays: (node, feature, cut, place of the left child or -1)."""
+    heap, feature, cut, left = [1], [], [], []
+    for n in heap:  # grows on the way
+        f, c = splits.get(n, (-1, 0))
+        feature.append(f)
+        cut.append(c)
+        left.append(len(heap) if f >= 0 else -1)
+        if f >= 0:
+            heap += [2 * n, 2 * n + 1]
+    return np.array(heap, np.int64), np.array(feature), np.array(cut), np.array(left)
 
 
-def _arrays(batch, features: int):
-    bins = np.frombuffer(b"".join(batch.column("b").to_pylist()), np.uint8).reshape(-1, features)
-    return batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64), batch.column("y").to_numpy(zero_copy_only=False), bins
+def _descend(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Place of the node without a split, so far, that each row reaches."""
+    at, going = np.zeros(len(bins), np.int64), np.arange(len(bins))
+    while len(going):
+        going = going[left[at[going]] >= 0]
+        here = at[going]
+        at[going] = left[here] + (bins[going, feature[here]] > cut[here])
+    return at
+
+
+def _bytes(column) -> np.ndarray:
+    """The bytes of all values of a binary column, end to end."""
+    if not len(column):
+        return np.zeros(0, np.uint8)
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+
+
+def _blocks(batches, features: int):
+    """(id, label, bins) of many rows at a time, so that what is done once a tree is done seldom."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((
+            batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64), batch.column("y").to_numpy(zero_copy_only=False).copy(),
+            _bytes(batch.column("b")).reshape(-1, features).copy(),
+        ))
+        size += batch.num_rows
+        if size >= BLOCK:
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(c) for c in zip(*held))
 
 
 def _histograms(table: DataFrame, splits: dict, frontier: list[tuple[int, int]], features: int, s: ForestSettings) -> list:
@@ -201,21 +252,30 @@ def _histograms(table: DataFrame, splits: dict, frontier: list[tuple[int, int]],
 
     def sums(batches):
         splits, frontier = shared.value
-        place = {x: i for i, x in enumerate(frontier)}
-        trees = sorted({t for t, _ in frontier})
         w_sum, y_sum = np.zeros(len(frontier) * per), np.zeros(len(frontier) * per)
-        for batch in batches:
-            ids, y, bins = _arrays(batch, features)
-            for tree in trees:
+        # open nodes come tree by tree, so each tree has cells of its own
+        walks, first = [], 0
+        while first < len(frontier):
+            tree, last = frontier[first][0], first
+            while last < len(frontier) and frontier[last][0] == tree:
+                last += 1
+            heap, *walk = _compiled(splits.get(tree, {}))
+            place = {n: i for i, (_, n) in enumerate(frontier[first:last])}
+            walks.append((tree, first, last, walk, np.array([place.get(n, -1) for n in heap.tolist()])))
+            first = last
+        for ids, y, bins in _blocks(batches, features):
+            columns = np.ascontiguousarray(bins.T)
+            for tree, first, last, walk, place in walks:
                 w = _weights(ids, tree, s.seed)
-                node = _descend(splits.get(tree, {}), bins)
-                known, back = np.unique(node, return_inverse=True)
-                at = np.array([place.get((tree, n), -1) for n in known.tolist()])[back]
+                at = place[_descend(*walk, bins)]
                 some = np.flatnonzero((at >= 0) & (w > 0))
+                weight, base, cells = w[some].astype(np.float64), at[some] * per, (last - first) * per
+                label = weight * y[some]
+                mine = slice(first * per, last * per)
                 for j in range(features):
-                    cell = at[some] * per + j * 256 + bins[some, j]
-                    w_sum += np.bincount(cell, w[some], len(w_sum))
-                    y_sum += np.bincount(cell, w[some] * y[some], len(y_sum))
+                    cell = base + j * 256 + columns[j, some]
+                    w_sum[mine] += np.bincount(cell, weight, cells)
+                    y_sum[mine] += np.bincount(cell, label, cells)
         full = np.flatnonzero(w_sum)
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(w_sum[full]), pa.array(y_sum[full])], ["cell", "w", "wy"])
 
@@ -277,26 +337,30 @@ def train(rows: DataFrame, s: ForestSettings) -> tuple[list[np.ndarray], DataFra
             # a child may have as many rows as its parent, less the least
             if r.feature >= 0 and r.weight - s.least > s.small and (2 * node).bit_length() - 1 <= s.depth:
                 open_ += [(tree, 2 * node), (tree, 2 * node + 1)]
+        open_.sort()  # tree by tree
     done = {(r[0], r[1]) for r in top}
     shared = spark.sparkContext.broadcast((splits, done))
 
     def deal(batches):
         splits, done = shared.value
-        for batch in batches:
-            ids, y, bins = _arrays(batch, features)
-            out = [[], [], [], [], []]
-            for tree in range(s.trees):
+        walks = [_compiled(splits[tree]) for tree in range(s.trees)]
+        for ids, y, bins in _blocks(batches, features):
+            for tree, (heap, *walk) in enumerate(walks):
                 w = _weights(ids, tree, s.seed)
                 some = np.flatnonzero(w)
-                node = _descend(splits[tree], bins[some])
-                for n in np.unique(node).tolist():
+                at = _descend(*walk, bins[some])
+                order = np.argsort(at, kind="stable")
+                some, at = some[order], at[order]
+                out = [[], [], [], [], []]
+                starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(at)]):
+                    n, mine = int(heap[at[a]]), some[a:b]
                     if (tree, n) in done:  # a leaf already
                         continue
-                    mine = some[node == n]
                     for column, value in zip(out, (tree, n, y[mine].tobytes(), bins[mine].tobytes(), w[mine].astype(np.uint8).tobytes())):
                         column.append(value)
-            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["tree", "node", "y", "b", "w"])
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["tree", "node", "y", "b", "w"])
 
     def finish(group):
         y = np.frombuffer(b"".join(group.column("y").to_pylist()), np.float64)

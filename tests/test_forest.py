@@ -104,3 +104,33 @@ def test_boosting_is_cut_where_the_loss_turns(spark):
     losses = full.stages[-1].evaluateEachIteration(PipelineModel(full.stages[:-1]).transform(held), "squared")
     assert model.stages[-1].getNumTrees == train.best_round(losses, 2) < 15
     assert model.stages[-1].evaluateEachIteration(PipelineModel(model.stages[:-1]).transform(held), "squared") == pytest.approx(losses[: model.stages[-1].getNumTrees])
+
+
+def test_levels_are_summed_without_sorting_rows(monkeypatch):
+    """While a level has more rows than cells its rows are added up, not sorted; the best cuts are those of sorted cells."""
+    draw = np.random.default_rng(3)
+    n = 6000
+    bins = draw.integers(0, 40, (n, 4)).astype(np.uint8)
+    node, w = draw.integers(0, 7, n), draw.integers(1, 4, n).astype(float)
+    node[node == 5] = 6  # a node without rows
+    y = draw.normal(0, 1, n) + (bins[:, 0] > 20) * node
+    for j in range(4):
+        sorted_ = forest._best_cuts(*forest._cells(node, bins[:, j], w, w * y), 7, 5)
+        summed = forest._best_dense(node * 40, bins[:, j], w, w * y, 7, 40, 5)
+        assert (sorted_[1] == summed[1]).all() and sorted_[0] == pytest.approx(summed[0])
+    monkeypatch.setattr(forest, "_cells", lambda *a: pytest.fail("rows sorted"))
+    grown = forest.grow(0, 1, bins, y, w, forest.ForestSettings(**{**SETTINGS, "depth": 4, "share": "all"}))
+    assert len(grown[0]) == 31
+
+
+def test_rows_walk_to_the_open_nodes():
+    draw = np.random.default_rng(5)
+    splits = {1: (0, 10), 2: (1, 5), 3: (2, 7), 5: (0, 3), 7: (1, 20)}
+    bins = draw.integers(0, 30, (500, 3)).astype(np.uint8)
+    heap, *walk = forest._compiled(splits)
+    got = heap[forest._descend(*walk, bins)]
+    for row, node in zip(bins, got.tolist()):
+        at = 1
+        while at in splits:
+            at = 2 * at + int(row[splits[at][0]] > splits[at][1])
+        assert at == node
