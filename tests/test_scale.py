@@ -91,3 +91,35 @@ def test_spatial_features_exchange_no_pairs(spark):
     assert out.count() == 400
     plan = sf.distance_features(stays, events)._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "explode(_day)" not in plan
+
+
+@pytest.mark.parametrize(("days", "places", "per_task"), [(4, 3, 10), (4, 3, 10**6), (60, 40, 10**6)])
+def test_point_pairs_come_once(spark, monkeypatch, days, places, per_task):
+    """Dense points meet in a grid, scattered ones by day; either way no pair of a range and an event is made."""
+    draw = random.Random(days)
+    day = lambda: DAY0.date() + dt.timedelta(days=draw.randint(0, days))
+    stays = [(a := day(), a + dt.timedelta(days=draw.randint(-1, 3)), None if i % 19 == 2 else float(draw.randint(0, places)), 1.0) for i in range(120)]
+    events = [(None if i % 23 == 4 else day(), float(draw.randint(0, places)), float(draw.randint(0, places))) for i in range(150)]
+    s = spark.createDataFrame(stays, "ci date, co date, lat double, lon double")
+    e = spark.createDataFrame(events, "day date, event_lat double, event_lon double")
+    met, real = [], j.interval_join
+    monkeypatch.setattr(j, "interval_join", lambda left, *more: met.append(1) or real(left, *more))
+    got = j.day_pairs(s, e, "ci", "co", "lat", "lon", "day", "event_lat", "event_lon", per_task)
+    plain = {(x[2], x[3], y[1], y[2]) for x in stays for y in events if x[2] is not None and y[0] and x[0] <= y[0] < x[1]}
+    assert rows(got) == sorted(plain, key=str)
+    assert bool(met) == (days == 60)
+
+
+def test_pair_distances_are_counted_by_hotel_point_and_day(spark, folder):
+    from stayglass.sources import tables as t
+
+    s = t.stays(spark, folder).select("checkin", "checkout", "lat", "lon").na.drop().distinct()
+    e = t.city_events(spark, folder).select("day", "event_lat", "event_lon").na.drop().distinct()
+    km = j.rounded_km(F.col("lat"), F.col("lon"), F.col("event_lat"), F.col("event_lon"))
+    pairs = s.join(e, (e["day"] >= s["checkin"]) & (e["day"] < s["checkout"])).withColumn("km", km)
+    far = F.when(F.col("km") > 5, F.col("km"))
+    plain = pairs.groupBy("checkin", "checkout", "lat", "lon").agg(F.count(F.lit(1)), F.count(far), F.min(far))
+    out = q.join_pair_distance(spark, folder)
+    assert rows(out) == rows(plain) and out.where("with_distance BETWEEN 1 AND pairs - 1").count() > 20
+    nearest = pairs.groupBy("lat", "lon").agg(F.count_distinct("event_lat", "event_lon"), F.min("km"), F.max("km"))
+    assert rows(q.distance_pairs(spark, folder).drop("mean_km")) == rows(nearest)
