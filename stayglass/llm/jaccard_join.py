@@ -29,7 +29,8 @@ themselves decide. Links join components. Keys whose members are still in differ
   put in one order, rare ones first, and the whole overlap that a similarity asks for is allotted to the rare end. Of two
   similar sets, the smaller has a shared shingle among its first tenth (n - overlap(n, n) + 1 of n), the larger among its
   first fifth. Each such shingle with a size band is a key of its own. Texts that share a passage and differ in rare
-  words, or copies just below the threshold, don't meet there, however many they are.
+  words, or copies just below the threshold, don't meet there, however many they are. Two
+  classes with a refined key are a pair only if parity bits and the shingles behind the key in either set allow it.
 
 No link between components is lost, while members of one component aren't paired with each other: in a refined key the
 largest component is paired with the others alone.
@@ -472,13 +473,13 @@ def tier_filters(sets: DataFrame, s: Settings) -> list[bytes]:
 
 
 def refined_keys(sets: DataFrame, parts: DataFrame, filters, s: Settings) -> DataFrame:
-    """(key, class, part, n, large): the shingles of a set's rare end, for the sets that it can be the smaller of two
-    similar ones with, and for those that it can be the larger one with."""
+    """(key, class, part, n, large, rest): the shingles of a set's rare end, for the sets that it can be the smaller of two
+    similar ones with, and for those that it can be the larger one with. ``rest`` counts the shingle and those behind it."""
     first = bands(s.refined_ratio)
 
     def keys(batches):
         for batch in slices(batches, "items", 2 << 20):
-            out = [[], [], [], [], []]
+            out = [[], [], [], [], [], []]
             for name, part, cell in zip(batch.column("class").to_pylist(), batch.column("part").to_pylist(), batch.column("items")):
                 items = np.frombuffer(cell.as_buffer(), np.uint64)
                 n, slots = len(items), (items >> np.uint64(24)).astype(np.int64)
@@ -495,23 +496,29 @@ def refined_keys(sets: DataFrame, parts: DataFrame, filters, s: Settings) -> Dat
                     some = items[alone:end]
                     out[0].append(mix(some ^ mix(np.full(1, k + 1, np.uint64))).view(np.int64))
                     out[4].append(np.full(len(some), large, np.int8))
+                    out[5].append(n - alone - np.arange(len(some)))
                     for column, value in zip(out[1:4], (name, part, n)):
                         column.append(np.full(len(some), value, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "class", "part", "n", "large"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "class", "part", "n", "large", "rest"])
 
-    return sets.join(parts, "class").select("class", "part", "items").mapInArrow(lean(keys), "key bigint, class bigint, part bigint, n bigint, large tinyint")
+    return sets.join(parts, "class").select("class", "part", "items").mapInArrow(lean(keys), "key bigint, class bigint, part bigint, n bigint, large tinyint, rest bigint")
 
 
-def refined_pairs(keys: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes of different components with a refined key, one as the smaller set, one as the larger."""
+def refined_pairs(keys: DataFrame, sketch: DataFrame | None = None, percent: int = Settings.percent) -> DataFrame:
+    """Pairs (a, b) of classes of different components with a refined key, one as the smaller set, one as the larger, that
+    may be similar: at the first shingle that two similar sets share, all that they share stands there or behind it, and
+    parity bits allow it, where there are sketches."""
     sizes = keys.groupBy("key", "part").agg(F.count("*").alias("rows"))
     main = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "part"))["part"].alias("main"))
-    rows = stored(keys.join(main.where("parts > 1").select("key", "main"), "key"), "jaccard-refined")
+    rows = keys.join(main.where("parts > 1").select("key", "main"), "key")
+    rows = stored(rows if sketch is None else rows.join(sketch.drop("n"), "class"), "jaccard-refined")
     p, q = rows.where("part <> main").alias("p"), rows.alias("q")
     apart = (F.col("q.part") == F.col("q.main")) | (F.col("p.part") < F.col("q.part"))
     lower = F.struct("p.n", "p.class") < F.struct("q.n", "q.class")
     roles = (lower & (F.col("p.large") == 0) & (F.col("q.large") == 1)) | (~lower & (F.col("p.large") == 1) & (F.col("q.large") == 0))
-    pairs = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.part") != F.col("q.part")) & apart & roles)
+    enough = F.least("p.rest", "q.rest") * (100 + percent) >= (F.col("p.n") + F.col("q.n")) * percent
+    close = enough if sketch is None else enough & possible("p", "q", percent)
+    pairs = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.part") != F.col("q.part")) & apart & roles & close)
     return pairs.select(F.least("p.class", "q.class").alias("a"), F.greatest("p.class", "q.class").alias("b")).distinct()
 
 
@@ -569,8 +576,7 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame
             large = stored(apart(large.select("key", "class"), label), "jaccard-large")
         parts = large.select("class", "part").distinct()
         filters = spark.sparkContext.broadcast(tier_filters(sets, s))
-        pairs = refined_pairs(refined_keys(sets, parts, filters, s)).join(sketch.alias("p"), F.col("a") == F.col("p.class"))
-        pairs = pairs.join(sketch.alias("q"), F.col("b") == F.col("q.class")).where(possible("p", "q", s.percent)).select("a", "b")
+        pairs = refined_pairs(refined_keys(sets, parts, filters, s), sketch, s.percent)
         links = links.unionByName(stored(similar(plausible(pairs, parity, s.percent), sets, s.percent), "jaccard-refined-links"))
         label = components(links)
 

@@ -5,10 +5,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stayglass.llm import collocations, jaccard_join, language_id, merkle
+from stayglass.llm import collocations, jaccard_join, language_id, merkle, words
 
 DOCS = "doc_id bigint, source string, lang string, n_chars bigint, text string, `a.b` string, block string, path string"
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -195,6 +197,26 @@ def test_refined_keys_grow_with_the_rows(spark):
     assert sizes[1] <= 8 * max(sizes[0], 5)
 
 
+def test_refined_pairs_may_be_similar(spark):
+    """Texts that share half of their words are paired for a shared key without sketches, but not with them."""
+    draw, s = random.Random(9), jaccard_join.Settings()
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"w{i}-{j}" for j in range(60)]) for i in range(12)]
+    texts += [" ".join(passage[:50] + [f"near{i}"] + passage[51:] + [f"q{j}" for j in range(60)]) for i in range(6)]
+    draw.shuffle(texts)
+    df = spark.createDataFrame(rows_of(texts), DOCS).repartition(4)
+    classes = jaccard_join.survey(df, "doc_id", "text", s).where("kind = 0 and n > 0").selectExpr("class", "id")
+    sets = jaccard_join.whole_sets(df, "doc_id", "text", classes, s).cache()
+    sketch = jaccard_join.sketches(df, "doc_id", "text", classes, s).drop("parity").cache()
+    items = [(r["class"], [int(x) for x in np.frombuffer(r["items"], np.uint64)]) for r in sets.collect()]
+    # one key for all, as a text of frequent words alone has: all of its set stands behind it
+    keys = spark.createDataFrame([(1, c, c, len(x), large, len(x)) for c, x in items for large in (0, 1)], "key long, class long, part long, n long, large int, rest long")
+    near = {tuple(sorted((a, b))) for a, x in items for b, y in items if a < b and 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y})}
+    every = jaccard_join.refined_pairs(keys).count()
+    got = {tuple(r) for r in jaccard_join.refined_pairs(keys, sketch, 80).collect()}
+    assert every == 18 * 17 // 2 and len(near) == 15 and near <= got and len(got) <= 20
+
+
 def test_one_row_of_each_group_stays(spark):
     texts = near_copies()
     rows = rows_of(texts)
@@ -222,3 +244,16 @@ def test_copies_that_differ_in_an_outer_line_are_one_document_after_two_stages(s
     for stage in (corpus_pipeline.without_repeated_lines, corpus_pipeline.without_near_duplicates):
         docs = stage(spark, docs, "")
     assert [r.doc_id for r in docs.collect()] == [0]
+
+
+def test_workers_give_the_tables_of_powers_back():
+    texts = pa.array(["Some words, some WORDS " * 50, "", None])
+    before = words.words_of(texts).hash
+
+    def count(batches):
+        for batch in batches:
+            yield len(words.words_of(batch).hash)
+
+    assert list(words.lean(count)([texts, texts])) == [200 + 0, 200 + 0]
+    assert words._powers.cache_info().currsize == 0
+    assert (words.words_of(texts).hash == before).all()
