@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayglass.llm.common import fresh, name_of, undotted
+from stayglass.llm.common import bound_batches, fresh, name_of, undotted
 from stayglass.llm.fm_index import FMIndex
-from stayglass.llm.words import ALPHANUMERIC, slices, words_of
+from stayglass.llm.words import ALPHANUMERIC, lean, slices, words_of
 
 WIDTH = 10
 PART_BYTES = 16 << 20  # benchmark text in one broadcast
-SHARD_BYTES = 2 << 20  # document text in one index
+SHARD_BYTES = 1 << 20  # document text in one index
 
 
 @dataclass
@@ -136,6 +136,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_te
 
 
 def _scan_part(docs: DataFrame, ids: list[str], texts: list[str], text: str, spans: str, items: str, width: int, finish, schema) -> DataFrame:
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(phrases_of(ids, texts, width))
 
     def add(batches):
@@ -161,7 +162,7 @@ def _scan_part(docs: DataFrame, ids: list[str], texts: list[str], text: str, spa
             full = pa.RecordBatch.from_arrays([done.get(c, batch.column(k)) for k, c in enumerate(names)], names)
             yield finish(full, words, cells, lists) if finish else full
 
-    return docs.mapInArrow(add, schema)
+    return docs.mapInArrow(lean(add), schema)
 
 
 def report(

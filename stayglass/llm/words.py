@@ -115,7 +115,10 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -
     size = -(-n // SLICE_BYTES) * SLICE_BYTES  # few sizes, so that the powers are kept
     power, inverse = _powers(size)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(((LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
+    terms = (LOWER[data] if lower else data).astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= power[:n]
+    np.cumsum(terms, out=sums[1:])
     return mix((sums[end] - sums[start]) * inverse[start])
 
 
@@ -148,6 +151,7 @@ def lean(function):
     worker would keep it, beside an executor whose heap grows in the stages that follow."""
 
     def give_back():
+        _powers.cache_clear()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
         if trim:
