@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,7 @@ from pyspark.ml.util import JavaMLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayglass.operators.sums import summed
 from stayglass.session import work_path
 
 NODES = "tree int, node bigint, feature int, cut int, value double, gain double, weight double"
@@ -377,6 +378,16 @@ def train(rows: DataFrame, s: ForestSettings) -> tuple[list[np.ndarray], DataFra
 # --- estimator and model --------------------------------------------------------------------------------------------
 
 
+def _leaves(root: int, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """The leaf below a root that each row reaches."""
+    at, going = np.full(len(bins), root), np.arange(len(bins))
+    while len(going):
+        going = going[left[at[going]] >= 0]
+        here = at[going]
+        at[going] = left[here] + (bins[going, feature[here]] > cut[here])
+    return at
+
+
 class Forest(Estimator):
     """Learns from the ``features`` vector and a label column."""
 
@@ -384,6 +395,14 @@ class Forest(Estimator):
         super().__init__()
         self.label, self.settings = label, settings
 
+    def setNumTrees(self, trees: int) -> Forest:
+        self.settings = replace(self.settings, trees=trees)
+        return self
+
+    def setMaxDepth(self, depth: int) -> Forest:
+        self.settings = replace(self.settings, depth=depth)
+        return self
+
     def _fit(self, dataset: DataFrame) -> ForestModel:
         known = dataset.where(F.col(self.label).isNotNull()).select(vector_to_array("features").alias("x"), F.col(self.label).cast("double").alias("y"))
         rows = known.withColumn("id", F.xxhash64("x", "y", F.monotonically_increasing_id()))
@@ -392,11 +411,11 @@ class Forest(Estimator):
 
 
 class ForestModel(Model, MLWritable, JavaMLReadable):
-    """A fitted forest. ``nodes`` is its table of nodes."""
+    """A fitted forest. ``nodes`` is its table of nodes. Trees are averaged, or added to ``shift``."""
 
-    def __init__(self, cuts=None, nodes: DataFrame | None = None, settings: ForestSettings | None = None):
+    def __init__(self, cuts=None, nodes: DataFrame | None = None, settings: ForestSettings | None = None, shift: float = 0.0, averaged: bool = True, label: str | None = None):
         super().__init__()
-        self.cuts, self.nodes, self.settings = cuts, nodes, settings
+        self.cuts, self.nodes, self.settings, self.shift, self.averaged, self.label = cuts, nodes, settings, shift, averaged, label
         self._packed = None
 
     def packed(self) -> tuple:
@@ -413,6 +432,7 @@ class ForestModel(Model, MLWritable, JavaMLReadable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         shared, cuts = dataset.sparkSession.sparkContext.broadcast(self.packed()), self.cuts
+        shift, averaged = self.shift, self.averaged
 
         @F.pandas_udf("double")
         def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -420,18 +440,37 @@ class ForestModel(Model, MLWritable, JavaMLReadable):
             for x in batches:
                 bins = _binned(np.stack(x.to_numpy()).astype(np.float64), cuts) if len(x) else np.zeros((0, len(cuts)), np.uint8)
                 total = np.zeros(len(x))
-                rows = np.arange(len(x))
                 for root in roots:
-                    at, going = np.full(len(x), root), rows
-                    while len(going):
-                        going = going[left[at[going]] >= 0]
-                        here = at[going]
-                        at[going] = left[here] + (bins[going, feature[here]] > cut[here])
-                    total += value[at]
-                yield pd.Series(total / max(len(roots), 1))
+                    total += value[_leaves(root, feature, cut, left, bins)]
+                yield pd.Series(total / max(len(roots), 1) if averaged else total + shift)
 
         return dataset.withColumn("prediction", predict(vector_to_array("features")))
 
+    @property
+    def getNumTrees(self) -> int:
+        return len(self.packed()[0])
+
+    def evaluateEachIteration(self, dataset: DataFrame, loss: str = "squared") -> list[float]:
+        """Mean squared error after each of the added trees, over the rows with a label."""
+        if loss != "squared" or self.averaged:
+            raise ValueError("squared errors of added trees alone")
+        shared, cuts, shift = dataset.sparkSession.sparkContext.broadcast(self.packed()), self.cuts, self.shift
+        rows = dataset.select(vector_to_array("features").alias("x"), F.col(self.label).cast("double").alias("y")).where("y IS NOT NULL")
+
+        def add(batches, total):
+            roots, feature, cut, left, value = shared.value
+            for batch in batches:
+                if batch.num_rows:
+                    bins = _binned(batch.column("x").flatten().to_numpy().reshape(-1, len(cuts)), cuts)
+                    error = batch.column("y").to_numpy() - shift
+                    total[-1] += len(error)
+                    for k, root in enumerate(roots):
+                        error = error - value[_leaves(root, feature, cut, left, bins)]
+                        total[k] += error @ error
+
+        total = summed(rows, self.getNumTrees + 1, add, rows.rdd.getNumPartitions())
+        return (total[:-1] / total[-1]).tolist() if total[-1] else [float("nan")] * self.getNumTrees
+
     @property
     def importances(self) -> np.ndarray:
         """Share of each feature in the gain of a tree, averaged over the trees."""
@@ -457,7 +496,7 @@ class _Writer(MLWriter):
         m, spark = self.model, SparkSession.getActiveSession()
         facts = {"class": f"{ForestModel.__module__}.{ForestModel.__name__}", "uid": m.uid, "timestamp": 0, "sparkVersion": spark.version, "paramMap": {}, "defaultParamMap": {}}
         spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.text(f"{path}/metadata")
-        more = {"settings": asdict(m.settings), "cuts": [c.tolist() for c in m.cuts]}
+        more = {"settings": asdict(m.settings), "cuts": [c.tolist() for c in m.cuts], "shift": m.shift, "averaged": m.averaged, "label": m.label}
         spark.createDataFrame([(json.dumps(more),)], "value string").coalesce(1).write.text(f"{path}/facts")
         m.nodes.write.parquet(f"{path}/nodes")
 
@@ -466,4 +505,4 @@ class _Reader(MLReader):
     def load(self, path: str) -> ForestModel:
         spark = SparkSession.getActiveSession()
         facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
-        return ForestModel([np.array(c) for c in facts["cuts"]], spark.read.parquet(f"{path}/nodes"), ForestSettings(**facts["settings"]))
+        return ForestModel([np.array(c) for c in facts["cuts"]], spark.read.parquet(f"{path}/nodes"), ForestSettings(**facts["settings"]), facts.get("shift", 0.0), facts.get("averaged", True), facts.get("label"))
