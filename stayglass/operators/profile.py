@@ -404,6 +404,11 @@ def busiest_and_quietest(df: DataFrame, day: str, k: int = 3) -> DataFrame:
 
 def regression_metrics(df: DataFrame, log_true: str, log_pred: str, true: str, pred: str) -> DataFrame:
     """RMSE, MAE and R2 on both scales, MAPE - one aggregate."""
+    return df.agg(*metric_columns(log_true, log_pred, true, pred))
+
+
+def metric_columns(log_true: str, log_pred: str, true: str, pred: str) -> list[Column]:
+    """The aggregates of ``regression_metrics``."""
     def trio(y: str, p: str, suffix: str) -> list[Column]:
         e = F.col(y) - F.col(p)
         spread = F.var_pop(y) * F.count(y)
@@ -414,8 +419,8 @@ def regression_metrics(df: DataFrame, log_true: str, log_pred: str, true: str, p
         ]
 
     share = F.try_divide(F.col(true) - F.col(pred), F.col(true))
-    return df.agg(
+    return [
         *trio(log_true, log_pred, "log"), *trio(true, pred, "orig"),
         (F.avg(F.abs(share)) * 100).alias("mape"),
         F.count(F.lit(1)).alias("n"),
-    )
+    ]

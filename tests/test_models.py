@@ -136,3 +136,46 @@ def test_cross_validation_of_the_best(data):
     mean = sum(single) / 3
     assert mine["folds"] == 3 and mine["mean_r2"] == pytest.approx(mean)
     assert mine["std_r2"] == pytest.approx((sum((x - mean) ** 2 for x in single) / 3) ** 0.5)
+
+
+def test_models_of_moments_equal_models_of_rows(data):
+    """The fits of all linear models take one scan; each equals Spark's own fit over the rows."""
+    train, _ = data
+    prep = tr.preprocess(train, FEATURES)
+    vectors = tr.PipelineModel(prep.stages).transform(train)
+    condensed = tr.Condensed.of(vectors, "y")
+    assert condensed.n == train.count() and condensed.rows.count() <= 2 * (len(prep.names) + 1)
+    fitted = tr.fit_linear(tr.BASELINES[:4], prep, train, "y")
+    for spec, model in zip(tr.BASELINES[:4], fitted):
+        plain = spec.build(train, "y").fit(vectors)
+        assert np.allclose(model.stages[-1].coefficients.toArray(), plain.coefficients.toArray(), atol=1e-6), spec.name
+        assert model.stages[-1].intercept == pytest.approx(plain.intercept, abs=1e-6)
+
+
+def test_boosting_equals_plain_boosting(data):
+    """Trees over histograms by tasks equal greedy ones over all rows; blocks written again change nothing."""
+    from stayglass.plans import boosting as bo
+
+    train, _ = data
+    rows = tr.PipelineModel(tr.preprocess(train, FEATURES, "label").stages).transform(train)
+    rows = rows.select(tr.vector_to_array("features").alias("x"), "y", F.lit(False).alias("held"), F.col("i").cast("long").alias("id")).repartition(3)
+    cuts, shift, trees = bo.boost(rows, bo.BoostSettings(4, 2, 0.1, 1.0, 1, renew=2))
+    x, y = np.array([r.x for r in rows.collect()]), np.array([r.y for r in rows.collect()])
+    bins, left = bo._binned(x, cuts), y - y.mean()
+    assert shift == pytest.approx(y.mean()) and len(trees) == 4
+
+    def grow(some, depth):
+        best = max(
+            ((left[some][b <= c].sum() ** 2 / (b <= c).sum() + left[some][b > c].sum() ** 2 / (b > c).sum(), -j, -c)
+             for j, b in enumerate(bins[some].T) for c in np.unique(b)[:-1].tolist()), default=None,
+        ) if depth else None
+        if best is None or best[0] - left[some].sum() ** 2 / len(some) <= 1e-12:
+            return {i: left[some].mean() for i in some}
+        side = bins[some, -best[1]] <= -best[2]
+        return grow(some[side], depth - 1) | grow(some[~side], depth - 1)
+
+    for k, tree in enumerate(trees):
+        want = grow(np.arange(len(y)), 2)
+        got = tree.value[tree.reach(np.ascontiguousarray(bins.T))]
+        assert np.allclose(got, [want[i] * (0.2 if k else 1) for i in range(len(y))])
+        left = left - got
