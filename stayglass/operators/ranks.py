@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -73,6 +74,55 @@ def hash_cut(hashes: DataFrame, size_of: Callable[[Column], Column]) -> Column:
     return F.lit(found[0]).cast("string")
 
 
+def hash_cuts(df: DataFrame, first: Column, second: Column, held_out: float, test_share: float) -> tuple[Column, Column] | None:
+    """``hash_cut`` of ``first`` over all rows, ``ceil(held_out * n)`` being held out, and of ``second`` over those, in one scan.
+
+    Hashes are uniform, so the rank lies within a few deviations of its share; rows outside that are counted, those within
+    come back, about 12 times the square root of the rows. None where a rank lies outside (null or much repeated keys).
+    """
+    n = df.count()
+    if not n:
+        return None
+
+    def window(rank: int, total: int) -> tuple[str, str]:
+        share = rank / total
+        width = 5 * math.sqrt(max(share * (1 - share), 0.0) / total) + 10 / total
+        low, high = (f"{int(min(max(x, 0.0), 1.0) * 2**48):012x}" for x in (share - width, share + width))
+        return low, high if len(high) == 12 and share + width < 1 else "g"  # past all digits
+
+    held = math.ceil(held_out * n)
+    (low, high), (low2, high2) = window(n - held, n), window(held - math.ceil(test_share * held), held) if held else ("", "")
+    h, h2 = F.col("_h"), F.col("_h2")
+    part = (
+        F.when(h.isNull() | (h < low), 0).when(h < high, 1)
+        .when(h2 < low2, 2).when(h2 < high2, 3).otherwise(4)
+    )
+    near = F.col("_part")
+    found = (
+        df.select(first.alias("_h"), second.alias("_h2")).select(h, h2, part.alias("_part"))
+        .groupBy("_part", F.when(near == 1, h).alias("_h"), F.when(near.isin(1, 3), h2).alias("_h2"))
+        .agg(F.count(F.lit(1)).alias("_n")).toArrow().to_pylist()
+    )
+
+    def at_rank(values: list[tuple[str, int]], rank: int) -> str | None:
+        for value, count in sorted(values):
+            if 0 <= rank < count:
+                return value
+            rank -= count
+        return None
+
+    rows = [(r["_part"], r["_h"], r["_h2"], r["_n"]) for r in found]
+    cut = at_rank([(x, k) for p, x, _, k in rows if p == 1], n - held - sum(k for p, _, _, k in rows if p == 0))
+    if cut is None:
+        return None
+    edge = [(x2, k) for p, x, x2, k in rows if p == 1 and x >= cut]
+    held = sum(k for p, _, _, k in rows if p > 1) + sum(k for _, k in edge)
+    below = sum(k for p, _, _, k in rows if p == 2) + sum(k for x2, k in edge if x2 < low2)
+    within = [(x2, k) for p, _, x2, k in rows if p == 3] + [(x2, k) for x2, k in edge if low2 <= x2 < high2]
+    cut2 = at_rank(within, held - math.ceil(test_share * held) - below)
+    return None if cut2 is None else (F.lit(cut), F.lit(cut2))
+
+
 def contiguous_folds(df: DataFrame, order: str, folds: int, name: str = "fold") -> DataFrame:
     """Unshuffled folds of equal size (the first ones take the remainder) along a unique number."""
     def starts(total: Column) -> list[Column]:

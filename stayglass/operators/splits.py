@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayglass.operators.profile import value_counts
-from stayglass.operators.ranks import hash_cut, order_hash
+from stayglass.operators.ranks import hash_cut, hash_cuts, order_hash
 from stayglass.operators.rows import top_k
 
 SEED = 42
@@ -20,15 +20,19 @@ def random_split(df: DataFrame, key: str, held_out: float = 0.4, test_share: flo
     """Exact-size random split by hash order of a unique key.
 
     ``ceil(held_out * n)`` rows are held out, of those ``ceil(test_share * held)`` are test rows.
-    The rows themselves are never shuffled: two narrow scans find the cut hashes, then each row is
+    The rows themselves are never shuffled: a scan finds the cut hashes, then each row is
     labelled on its own.
     """
     first, second = order_hash(F.col(key), seed), order_hash(F.col(key), seed + 1)
-    cut = hash_cut(df.select(first.alias("h")), lambda n: n - F.ceil(F.lit(held_out) * n))
+    both = hash_cuts(df, first, second, held_out, test_share)
+    cut = both[0] if both else hash_cut(df.select(first.alias("h")), lambda n: n - F.ceil(F.lit(held_out) * n))
     in_train = F.coalesce(F.col("_h") < F.col("_cut"), F.lit(True))
     marked = df.withColumn("_h", first).withColumn("_cut", cut).withColumn("_train", in_train)
-    held = marked.where(~F.col("_train")).select(second.alias("h"))
-    test_cut = hash_cut(held, lambda n: n - F.ceil(F.lit(test_share) * n))
+    if both:
+        test_cut = both[1]
+    else:
+        held = marked.where(~F.col("_train")).select(second.alias("h"))
+        test_cut = hash_cut(held, lambda n: n - F.ceil(F.lit(test_share) * n))
     in_val = F.coalesce(second < F.col("_cut2"), F.lit(True))
     return (
         marked.withColumn("_cut2", test_cut)

@@ -1,6 +1,7 @@
 """Rows, columns, quantiles, ranks, splits, encoders and profiles on small frames."""
 
 import datetime as dt
+import hashlib
 import math
 import random
 
@@ -227,3 +228,30 @@ def test_deny_table_and_union(spark):
     assert {r["h"] for r in rows.anti_join_denied(df, "h", deny, "n").collect()} == {"b", None}
     u = rows.union_by_name(df, spark.createDataFrame([(1,)], "x int"))
     assert u.columns == ["h", "x"] and u.count() == 4
+
+
+def test_random_split_takes_one_scan_of_hashes(spark, monkeypatch):
+    """Both cuts come from one scan; null and repeated keys still go the longer way."""
+    def brute(keys):
+        def order(seed):
+            return lambda k: hashlib.md5(f"{seed}|{k}".encode()).hexdigest()
+
+        n = len(keys)
+        fit = sorted(keys, key=order(42))[: n - math.ceil(0.4 * n)]
+        held = sorted(set(keys) - set(fit), key=order(43))
+        val = held[: len(held) - math.ceil(0.5 * len(held))]
+        return {k: "train" if k in set(fit) else "val" if k in set(val) else "test" for k in keys}
+
+    def split(df):
+        return {r["key"]: r["split"] for r in splits.random_split(df, "key").collect()}
+
+    nulls = spark.range(300).selectExpr("if(id % 3 = 0, null, string(id)) AS key")
+    both = splits.random_split(nulls, "key").groupBy("key", "split").count().collect()
+    monkeypatch.setattr(splits, "hash_cuts", lambda *a: None)
+    assert sorted(map(str, both)) == sorted(map(str, splits.random_split(nulls, "key").groupBy("key", "split").count().collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(splits, "hash_cut", lambda *a: pytest.fail("a scan for each cut"))
+    for n in (1, 2, 3, 9, 4000):
+        df = spark.range(n).selectExpr("string(id) AS key")
+        assert split(df) == brute([str(i) for i in range(n)])
+    assert ranks.hash_cuts(spark.range(0).selectExpr("string(id) AS key"), F.lit("0"), F.lit("0"), 0.4, 0.5) is None
