@@ -1,10 +1,15 @@
 """Regression forests that stay cheap when they are deep.
 
-Features are binned once into bytes, and that table is written. A node that many rows reach is split by histograms: each
-task sums weights and labels per (tree, node, feature, bin), Spark adds them up, and one row per node comes back, the
-best split. As soon as a node has ``small`` rows or fewer, its rows go to one task, which grows the rest of the subtree
-in memory. So the number of passes depends on the rows, not on the depth or the number of nodes, and no task holds more
-than ``small`` rows of a node. Bootstrap weights come from a hash of row and tree; a lost task draws the same again.
+Features are binned once into bytes. Rows with equal bins take the same way through every tree, so a tree needs the sums of
+their weights and labels alone: rows are brought together by their bins, and written in blocks of cells. A block whose
+cells have many rows holds their sums for each tree; one whose cells have few holds the rows, and sums are made again when
+they are needed. Nothing is assumed of the rows: where all differ, each is a cell.
+
+A node that many cells reach is split by histograms: each task sums weights and labels per (tree, node, feature, bin), Spark
+adds them up, and one row per node comes back, the best split. As soon as a node has ``small`` cells or fewer, they go to
+one task, which grows the rest of the subtree in memory. So the number of passes depends on the cells, not on the depth or
+the number of nodes, and no task holds more than ``small`` cells of a node. Bootstrap weights come from a hash of row and
+tree; a lost task draws the same again.
 
 Trees are rows (tree, node, feature, cut, value, gain): node 1 is the root, 2n and 2n + 1 its children. For scoring they are
 broadcast once; their size is bounded by trees and depth.
@@ -17,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
@@ -32,6 +36,10 @@ NODES = "tree int, node bigint, feature int, cut int, value double, gain double,
 
 
 BLOCK = 250_000  # rows that a task holds at a time
+CHUNK = 16_384  # rows that are scored, cells of a histogram that are compared at a time
+BUCKET_BITS = 10  # buckets by which equal rows meet
+DEARER = 4  # sums are kept for each tree if they take at most so many times the bytes of the rows
+BLOCKS = "rows bigint, cells bigint, b binary, first binary, id binary, y binary, w binary, wy binary"
 CLOSE = 1e-7  # gains this close are equal; the lowest feature and cut are taken
 
 
@@ -44,7 +52,7 @@ class ForestSettings:
     seed: int
     bins: int = 64
     sample: int = 20_000  # rows that choose the cuts between bins
-    small: int = 200_000  # rows of a node that one task takes over
+    small: int = 1_000_000  # cells of rows of a node that one task takes over
     cells: int = 2_000_000  # histogram cells that one task sums at a time
 
     def tried(self, features: int) -> int:
@@ -74,18 +82,27 @@ def _binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1, np.arange(1, 12)]))
+# numbers by the first 12 bits of what is drawn, -1 where the other bits decide
+_FIRST, _LAST = (np.searchsorted(_POISSON, ((np.arange(4096, dtype=np.uint64) << np.uint64(41)) + np.uint64(end)) / 2.0**53, "right") for end in (0, 2**41 - 1))
+_NUMBERS = np.where(_FIRST == _LAST, _FIRST, -1.0)
 
 
 def _weights(ids: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often a tree has each row: Poisson numbers of mean 1."""
     drawn = _mix(ids.view(np.uint64) + _mix(np.full(1, seed * 1_000_003 + tree + 1, np.uint64)))
-    return np.searchsorted(_POISSON, (drawn >> np.uint64(11)) / 2.0**53, "right")
+    out = _NUMBERS[(drawn >> np.uint64(52)).view(np.int64)]
+    open_ = np.flatnonzero(out < 0)
+    out[open_] = np.searchsorted(_POISSON, (drawn[open_] >> np.uint64(11)) / 2.0**53, "right")
+    return out
 
 
 def _chosen(tree: int, nodes: np.ndarray, features: int, s: ForestSettings) -> np.ndarray:
@@ -141,54 +158,72 @@ def _cells(node: np.ndarray, bins: np.ndarray, w: np.ndarray, wy: np.ndarray):
 def _best_dense(base: np.ndarray, bins: np.ndarray, w: np.ndarray, wy: np.ndarray, nodes: int, width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """``_best_cuts`` by one histogram of ``nodes`` times ``width`` cells; ``base`` is a row's first cell."""
     key = base + bins
-    left_w = np.cumsum(np.bincount(key, w, nodes * width).reshape(nodes, width), axis=1)
-    left_y = np.cumsum(np.bincount(key, wy, nodes * width).reshape(nodes, width), axis=1)
-    total_w, total_y = left_w[:, -1:], left_y[:, -1:]
-    right_w, right_y = total_w - left_w, total_y - left_y
-    fits = (left_w >= least) & (right_w >= least)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where(fits, left_y**2 / left_w + right_y**2 / right_w - total_y**2 / total_w, -1.0)
-    top = gain.max(axis=1)
-    # an empty bin repeats the gain of the one before it, so the first of equal cuts is never an empty one
-    cut = (gain >= (top - np.abs(top) * CLOSE)[:, None]).argmax(axis=1)
-    good = top > 1e-12
-    return np.where(good, top, 0.0), np.where(good, cut, -1)
+    all_w, all_y = np.bincount(key, w, nodes * width).reshape(nodes, width), np.bincount(key, wy, nodes * width).reshape(nodes, width)
+    best, cut, some = np.empty(nodes), np.empty(nodes, np.int64), max(1, CHUNK // width)
+    for a in range(0, nodes, some):  # a few at a time stay near the processor
+        left_w, left_y = np.cumsum(all_w[a : a + some], axis=1), np.cumsum(all_y[a : a + some], axis=1)
+        total_w, total_y = left_w[:, -1:].copy(), left_y[:, -1:].copy()
+        right_w = total_w - left_w
+        fits = (left_w >= least) & (right_w >= least)
+        # left_y**2 / left_w + right_y**2 / right_w - total_y**2 / total_w
+        left_y *= total_w
+        left_y -= total_y * left_w
+        left_y *= left_y
+        right_w *= left_w
+        right_w *= total_w
+        gain = np.divide(left_y, right_w, out=np.full_like(left_y, -1.0), where=fits)
+        top = gain.max(axis=1)
+        # an empty bin repeats the gain of the one before it, so the first of equal cuts is never an empty one
+        at = (gain >= (top - np.abs(top) * CLOSE)[:, None]).argmax(axis=1)
+        good = top > 1e-12
+        best[a : a + some], cut[a : a + some] = np.where(good, top, 0.0), np.where(good, at, -1)
+    return best, cut
 
 
 def grow(tree: int, root: int, bins: np.ndarray, y: np.ndarray, w: np.ndarray, s: ForestSettings) -> list[np.ndarray]:
     """Columns of the nodes of a subtree, level by level over all its rows. ``y`` is centred for exact enough sums."""
     centre = float(np.average(y, weights=w))
     y, w = y - centre, w.astype(np.float64)
+    wy = w * y
     heap, node = np.array([root], np.int64), np.zeros(len(y), np.int64)
     out, features = [], bins.shape[1]
     bins = np.ascontiguousarray(bins.T)  # a feature's bins together
     width = int(bins.max(initial=0)) + 1
+    k, rows = s.tried(features), np.arange(len(y))
     while len(heap):
         level = int(heap[0]).bit_length() - 1
-        wy = w * y
         total = np.bincount(node, w, len(heap))
         value = np.bincount(node, wy, len(heap)) / total
         best, feature, cut = np.zeros(len(heap)), np.full(len(heap), -1), np.full(len(heap), -1)
         if level < s.depth:
             tried = _chosen(tree, heap, features, s)
+            which = np.nonzero(tried)[1].reshape(len(heap), k)  # of each node, ascending
             # deep levels have fewer rows than cells
             dense, base = len(heap) * width <= max(4 * len(node), 4096), node * width
-            for j in range(features):
-                some = slice(None) if tried[:, j].all() else np.flatnonzero(tried[node, j])
-                if dense:
-                    gain, at = _best_dense(base[some], bins[j, some], w[some], wy[some], len(heap), width, s.least)
-                else:
+            for j in range(k if dense else features):
+                if not dense:
+                    some = slice(None) if k == features else np.flatnonzero(tried[node, j])
                     gain, at = _best_cuts(*_cells(node[some], bins[j, some], w[some], wy[some]), len(heap), s.least)
+                    of = j
+                else:
+                    of = which[:, j]
+                    mine = bins[j] if k == features else bins.reshape(-1)[(of * len(rows))[node] + rows]
+                    gain, at = _best_dense(base, mine, w, wy, len(heap), width, s.least)
                 better = gain > best * (1 + CLOSE)
-                best[better], feature[better], cut[better] = gain[better], j, at[better]
+                best, feature, cut = np.where(better, gain, best), np.where(better, of, feature), np.where(better, at, cut)
         out.append((np.full(len(heap), tree), heap, feature, cut, value + centre, best, total))
         split = feature >= 0
-        place = np.cumsum(split) - 1
-        keep = split[node]
-        bins, y, w, node = bins[:, keep], y[keep], w[keep], node[keep]
-        right = bins[feature[node], np.arange(len(node))] > cut[node]
-        node = place[node] * 2 + right
+        place = np.cumsum(split) * 2 - 2
+        if not split.all():
+            keep = np.flatnonzero(split[node])
+            bins, w, wy, node, rows = bins[:, keep], w[keep], wy[keep], node[keep], rows[: len(keep)]
+        right = bins.reshape(-1)[(feature * len(rows))[node] + rows] > cut[node]
+        node = place[node] + right
         heap = np.repeat(heap[split] * 2, 2) + np.tile([0, 1], int(split.sum()))
+        if level % 4 == 3 and len(node) > CHUNK and len(heap) <= 2**16:
+            # rows of a node together, so that what is added up stays near the processor
+            order = np.argsort(node.astype(np.uint16), kind="stable")
+            bins, w, wy, node = np.ascontiguousarray(bins[:, order]), w[order], wy[order], node[order]
     return [np.concatenate(c) for c in zip(*out)]
 
 
@@ -221,40 +256,118 @@ def _descend(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, bins: np.nd
     return at
 
 
-def _bytes(column) -> np.ndarray:
-    """The bytes of all values of a binary column, end to end."""
-    if not len(column):
-        return np.zeros(0, np.uint8)
-    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
-    ends = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+@dataclass
+class Cells:
+    """Some rows, those with equal bins together."""
+
+    bins: np.ndarray  # of each cell
+    first: np.ndarray  # place of a cell's first row
+    ids: np.ndarray | None
+    y: np.ndarray | None
+    w: np.ndarray | None = None  # for each tree and cell, in place of the rows
+    wy: np.ndarray | None = None
 
+    @classmethod
+    def of(cls, ids: np.ndarray, y: np.ndarray, bins: np.ndarray) -> Cells:
+        first = np.flatnonzero(np.r_[True, (bins[1:] != bins[:-1]).any(axis=1)])
+        return cls(bins[first], first, ids, y)
+
+    def sums(self, tree: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and weighted labels of the cells in a tree."""
+        if self.w is not None:
+            return self.w[tree].astype(np.float64), self.wy[tree]
+        w = _weights(self.ids, tree, seed)
+        wy = w * self.y
+        if len(self.first) == len(w):
+            return w, wy
+        return np.add.reduceat(w, self.first), np.add.reduceat(wy, self.first)
+
+    def record(self, s: ForestSettings) -> list:
+        """A row of ``BLOCKS``."""
+        out = [len(self.ids), len(self.first), self.bins.tobytes(), self.first.tobytes()]
+        if len(self.first) * s.trees * 12 > len(self.ids) * 16 * DEARER:
+            return [*out, self.ids.tobytes(), self.y.tobytes(), None, None]
+        w, wy = zip(*(self.sums(tree, s.seed) for tree in range(s.trees)))
+        return [*out, None, None, np.stack(w).astype(np.uint32).tobytes(), np.stack(wy).tobytes()]
+
+
+def _in_order(ids: np.ndarray, y: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bucket, id, label, bins) of rows, in the order of a hash of the bins: those with equal bins are together."""
+    words = np.zeros((len(bins), -(-bins.shape[1] // 8) * 8), np.uint8)
+    words[:, : bins.shape[1]] = bins
+    key = np.zeros(len(bins), np.uint64)
+    for word in words.view(np.uint64).T:
+        key = _mix((key ^ word) + np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key)
+    return (key[order] >> np.uint64(64 - BUCKET_BITS)).view(np.int64), ids[order], y[order], bins[order]
+
+
+def _dealt(batches, cuts: list[np.ndarray]):
+    """Rows (id, y, x) binned, in runs of a bucket; equal bins are in the same bucket."""
+
+    def runs(ids, y, bins):
+        bucket, *columns = _in_order(ids, y, bins)
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist()
+        out = [[c[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(bucket)])] for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *(pa.array(c, pa.binary()) for c in out)], ["bucket", "id", "y", "b"])
 
-def _blocks(batches, features: int):
-    """(id, label, bins) of many rows at a time, so that what is done once a tree is done seldom."""
     held, size = [], 0
     for batch in batches:
-        held.append((
-            batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64), batch.column("y").to_numpy(zero_copy_only=False).copy(),
-            _bytes(batch.column("b")).reshape(-1, features).copy(),
-        ))
-        size += batch.num_rows
+        if batch.num_rows:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, len(cuts))
+            held.append((batch.column("id").to_numpy(), batch.column("y").to_numpy(), _binned(x, cuts)))
+            size += batch.num_rows
         if size >= BLOCK:
-            yield tuple(np.concatenate(c) for c in zip(*held))
+            yield runs(*(np.concatenate(c) for c in zip(*held)))
             held, size = [], 0
     if size:
-        yield tuple(np.concatenate(c) for c in zip(*held))
+        yield runs(*(np.concatenate(c) for c in zip(*held)))
+
+
+def _packed(batches, features: int, s: ForestSettings):
+    """Runs, bucket by bucket, in blocks."""
+    held, size = [], 0
+
+    def block():
+        _, *columns = _in_order(*(np.concatenate(c) for c in zip(*held)))
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 6)
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(Cells.of(*columns).record(s), kinds)], [c.split()[0] for c in BLOCKS.split(", ")])
+
+    for batch in batches:
+        for run in zip(*(batch.column(c) for c in ("id", "y", "b"))):
+            ids, y, bins = (np.frombuffer(c.as_buffer(), kind) for c, kind in zip(run, (np.int64, np.float64, np.uint8)))
+            held.append((ids, y, bins.reshape(-1, features)))
+            size += len(ids)
+            if size >= BLOCK:
+                yield block()
+                held, size = [], 0
+    if size:
+        yield block()
+
+
+def _blocks(batches, features: int, trees: int):
+    """The cells of each block."""
+
+    def array(cell, kind, *shape):
+        return np.frombuffer(cell.as_buffer(), kind).reshape(*shape) if cell.is_valid else None
+
+    for batch in batches:
+        for b, first, ids, y, w, wy in zip(*(batch.column(c) for c in ("b", "first", "id", "y", "w", "wy"))):
+            yield Cells(
+                array(b, np.uint8, -1, features), array(first, np.int64, -1), array(ids, np.int64, -1), array(y, np.float64, -1),
+                array(w, np.uint32, trees, -1), array(wy, np.float64, trees, -1),
+            )
 
 
 def _histograms(table: DataFrame, splits: dict, frontier: list[tuple[int, int]], features: int, s: ForestSettings) -> list:
-    """Per open node (tree, node): weight, sum of labels, and the best split."""
-    shared = table.sparkSession.sparkContext.broadcast((splits, frontier))  # rows / small nodes a tree at most
+    """Per open node (tree, node): weight, sum of labels, the best split, and how many cells it has."""
+    shared = table.sparkSession.sparkContext.broadcast((splits, frontier))  # cells / small nodes a tree at most
     per = features * 256
 
     def sums(batches):
         splits, frontier = shared.value
-        w_sum, y_sum = np.zeros(len(frontier) * per), np.zeros(len(frontier) * per)
-        # open nodes come tree by tree, so each tree has cells of its own
+        w_sum, y_sum, known = np.zeros(len(frontier) * per), np.zeros(len(frontier) * per), np.zeros(len(frontier))
+        # open nodes come tree by tree, so each tree has histograms of its own, feature by feature
         walks, first = [], 0
         while first < len(frontier):
             tree, last = frontier[first][0], first
@@ -264,21 +377,28 @@ def _histograms(table: DataFrame, splits: dict, frontier: list[tuple[int, int]],
             place = {n: i for i, (_, n) in enumerate(frontier[first:last])}
             walks.append((tree, first, last, walk, np.array([place.get(n, -1) for n in heap.tolist()])))
             first = last
-        for ids, y, bins in _blocks(batches, features):
-            columns = np.ascontiguousarray(bins.T)
+        for block in _blocks(batches, features, s.trees):
+            columns = np.ascontiguousarray(block.bins.T)
             for tree, first, last, walk, place in walks:
-                w = _weights(ids, tree, s.seed)
-                at = place[_descend(*walk, bins)]
+                w, wy = block.sums(tree, s.seed)
+                at = place[_descend(*walk, block.bins)]
                 some = np.flatnonzero((at >= 0) & (w > 0))
-                weight, base, cells = w[some].astype(np.float64), at[some] * per, (last - first) * per
-                label = weight * y[some]
-                mine = slice(first * per, last * per)
+                w, wy, at, nodes = w[some], wy[some], at[some], last - first
+                known[first:last] += np.bincount(at, minlength=nodes)
+                base = at * 256
                 for j in range(features):
-                    cell = base + j * 256 + columns[j, some]
-                    w_sum[mine] += np.bincount(cell, weight, cells)
-                    y_sum[mine] += np.bincount(cell, label, cells)
+                    cell, mine = base + columns[j, some], slice(first * per + j * nodes * 256, first * per + (j + 1) * nodes * 256)
+                    w_sum[mine] += np.bincount(cell, w, nodes * 256)
+                    y_sum[mine] += np.bincount(cell, wy, nodes * 256)
+        for tree, first, last, _, _ in walks:
+            mine = slice(first * per, last * per)
+            for a in (w_sum, y_sum):
+                a[mine] = a[mine].reshape(features, last - first, 256).swapaxes(0, 1).reshape(-1)
         full = np.flatnonzero(w_sum)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(w_sum[full]), pa.array(y_sum[full])], ["cell", "w", "wy"])
+        # a node's cells are counted beside its first cell
+        lead = np.r_[True, full[1:] // per != full[:-1] // per] if len(full) else np.zeros(0, bool)
+        count = np.where(lead, known[full // per], 0.0)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(w_sum[full]), pa.array(y_sum[full]), pa.array(count)], ["cell", "w", "wy", "k"])
 
     def choose(group):
         cell = group.column("cell").to_numpy()
@@ -288,6 +408,7 @@ def _histograms(table: DataFrame, splits: dict, frontier: list[tuple[int, int]],
         feature, bins = cell % per // 256, cell % 256
         whole = feature == feature[0]
         weight, total = w[whole].sum(), wy[whole].sum()
+        wy = wy - w * (total / weight)
         best = (0.0, -1, -1)
         tried = _chosen(tree, np.array([node]), features, s)[0] & (node.bit_length() - 1 < s.depth)
         for j in np.flatnonzero(tried):
@@ -295,10 +416,11 @@ def _histograms(table: DataFrame, splits: dict, frontier: list[tuple[int, int]],
             gain, cut = _best_cuts(np.zeros(int(mine.sum()), np.int64), bins[mine], w[mine], wy[mine], 1, s.least)
             if gain[0] > best[0] * (1 + CLOSE):
                 best = (gain[0], int(j), int(cut[0]))
-        return _node_table([[tree], [node], [best[1]], [best[2]], [total / weight], [best[0]], [weight]])
+        known = pa.array([group.column("k").to_numpy().sum()])
+        return _node_table([[tree], [node], [best[1]], [best[2]], [total / weight], [best[0]], [weight]]).append_column("cells", known)
 
-    added = table.mapInArrow(sums, "cell bigint, w double, wy double").groupBy("cell").agg(F.sum("w").alias("w"), F.sum("wy").alias("wy"))
-    return added.withColumn("open", F.expr(f"cell div {per}")).groupBy("open").applyInArrow(lambda t: choose(t), NODES).collect()
+    added = table.mapInArrow(sums, "cell bigint, w double, wy double, k double").groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("w", "wy", "k")])
+    return added.withColumn("open", F.expr(f"cell div {per}")).groupBy("open").applyInArrow(lambda t: choose(t), f"{NODES}, cells double").collect()
 
 
 def train(rows: DataFrame, s: ForestSettings) -> tuple[list[np.ndarray], DataFrame]:
@@ -307,36 +429,34 @@ def train(rows: DataFrame, s: ForestSettings) -> tuple[list[np.ndarray], DataFra
     cuts = find_cuts(rows, s)
     features = len(cuts)
 
-    def bin_rows(batches):
-        for batch in batches:
-            x = np.array(batch.column("x").to_pylist(), np.float64).reshape(batch.num_rows, features)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array([b.tobytes() for b in _binned(x, cuts)], pa.binary())], ["id", "y", "b"])
-
-    path = work_path(spark, "forest-bins")
-    rows.select("id", "y", "x").mapInArrow(bin_rows, "id bigint, y double, b binary").write.parquet(path)
+    path = work_path(spark, "forest-cells")
+    runs = rows.select("id", "y", "x").mapInArrow(lambda batches: _dealt(batches, cuts), "bucket bigint, id binary, y binary, b binary")
+    # equal bins meet, and many equal ones are dealt over several tasks
+    together = runs.hint("rebalance", "bucket").sortWithinPartitions("bucket")
+    together.mapInArrow(lambda batches: _packed(batches, features, s), BLOCKS).write.parquet(path)
     table = spark.read.parquet(path)
-    count = table.count()
+    count = table.agg(F.sum("cells")).first()[0]
     if not count:
         raise ValueError("no rows to learn from")
 
-    # nodes that many rows reach, level by level
+    # nodes that many cells reach, level by level
     splits: dict[int, dict[int, tuple[int, int]]] = {t: {} for t in range(s.trees)}
     top, wave = [], max(1, s.cells // (features * 256))
     open_ = [(t, 1) for t in range(s.trees)] if count > s.small else []
-    # nodes of the last level are opened too: they become leaves without their rows meeting in a task
+    # nodes of the last level are opened too: they become leaves without their cells meeting in a task
     while open_:
         found = []
         for a in range(0, len(open_), wave):
             found += _histograms(table, splits, open_[a : a + wave], features, s)
-        top += [tuple(r) for r in found]
+        top += [tuple(r)[:-1] for r in found]
         open_ = []
         for r in found:
             if r.feature >= 0:
                 splits[r.tree][r.node] = (r.feature, r.cut)
         sizes = {(r.tree, r.node): r for r in found}
         for (tree, node), r in sizes.items():
-            # a child may have as many rows as its parent, less the least
-            if r.feature >= 0 and r.weight - s.least > s.small and (2 * node).bit_length() - 1 <= s.depth:
+            # a child may have as many cells as its parent, less one
+            if r.feature >= 0 and r.cells - 1 > s.small and (2 * node).bit_length() - 1 <= s.depth:
                 open_ += [(tree, 2 * node), (tree, 2 * node + 1)]
         open_.sort()  # tree by tree
     done = {(r[0], r[1]) for r in top}
@@ -345,31 +465,32 @@ def train(rows: DataFrame, s: ForestSettings) -> tuple[list[np.ndarray], DataFra
     def deal(batches):
         splits, done = shared.value
         walks = [_compiled(splits[tree]) for tree in range(s.trees)]
-        for ids, y, bins in _blocks(batches, features):
+        for block in _blocks(batches, features, s.trees):
             for tree, (heap, *walk) in enumerate(walks):
-                w = _weights(ids, tree, s.seed)
+                w, wy = block.sums(tree, s.seed)
                 some = np.flatnonzero(w)
-                at = _descend(*walk, bins[some])
-                order = np.argsort(at, kind="stable")
-                some, at = some[order], at[order]
+                if len(heap) > 1:
+                    at = _descend(*walk, block.bins[some])
+                    order = np.argsort(at, kind="stable")
+                    some, at = some[order], at[order]
+                    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+                else:
+                    at, starts = np.zeros(len(some), np.int64), np.zeros(min(len(some), 1), np.int64)
                 out = [[], [], [], [], []]
-                starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
                 for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(at)]):
                     n, mine = int(heap[at[a]]), some[a:b]
                     if (tree, n) in done:  # a leaf already
                         continue
-                    for column, value in zip(out, (tree, n, y[mine].tobytes(), bins[mine].tobytes(), w[mine].astype(np.uint8).tobytes())):
+                    for column, value in zip(out, (tree, n, wy[mine].tobytes(), block.bins[mine].tobytes(), w[mine].astype(np.uint32).tobytes())):
                         column.append(value)
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["tree", "node", "y", "b", "w"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["tree", "node", "wy", "b", "w"])
 
     def finish(group):
-        y = np.frombuffer(b"".join(group.column("y").to_pylist()), np.float64)
-        bins = np.frombuffer(b"".join(group.column("b").to_pylist()), np.uint8).reshape(-1, features)
-        w = np.frombuffer(b"".join(group.column("w").to_pylist()), np.uint8)
-        return _node_table(grow(group.column("tree")[0].as_py(), group.column("node")[0].as_py(), bins, y, w, s))
+        wy, w, bins = (np.concatenate([np.frombuffer(c.as_buffer(), kind) for c in group.column(name)]) for name, kind in (("wy", np.float64), ("w", np.uint32), ("b", np.uint8)))
+        return _node_table(grow(group.column("tree")[0].as_py(), group.column("node")[0].as_py(), bins.reshape(-1, features), wy / w, w, s))
 
-    below = table.mapInArrow(deal, "tree int, node bigint, y binary, b binary, w binary").groupBy("tree", "node").applyInArrow(finish, NODES)
+    below = table.mapInArrow(deal, "tree int, node bigint, wy binary, b binary, w binary").groupBy("tree", "node").applyInArrow(finish, NODES)
     path = work_path(spark, "forest-nodes")
     below.unionByName(spark.createDataFrame(top, NODES)).write.parquet(path)
     return cuts, spark.read.parquet(path)
@@ -378,14 +499,34 @@ def train(rows: DataFrame, s: ForestSettings) -> tuple[list[np.ndarray], DataFra
 # --- estimator and model --------------------------------------------------------------------------------------------
 
 
-def _leaves(root: int, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, bins: np.ndarray) -> np.ndarray:
+def _records(feature: np.ndarray, cut: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Each node as one number: left child, feature, cut. A leaf is its own child, and no bin is past its cut."""
+    leaf = left < 0
+    return np.where(leaf, np.arange(len(left)), left).astype(np.int64) << 24 | np.where(leaf, 0, feature).astype(np.int64) << 8 | np.where(leaf, 255, cut).astype(np.int64)
+
+
+def _leaves(root: int, records: np.ndarray, bins: np.ndarray) -> np.ndarray:
     """The leaf below a root that each row reaches."""
-    at, going = np.full(len(bins), root), np.arange(len(bins))
-    while len(going):
-        going = going[left[at[going]] >= 0]
-        here = at[going]
-        at[going] = left[here] + (bins[going, feature[here]] > cut[here])
-    return at
+    flat, start = bins.reshape(-1), np.arange(len(bins)) * bins.shape[1]
+    at = np.full(len(bins), root)
+    while True:
+        here = records[at]
+        below = (here >> 24) + (flat[start + (here >> 8 & 0xFFFF)] > (here & 0xFF))
+        if (below == at).all():
+            return at
+        at = below
+
+
+def _distinct(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, place of each row among them)."""
+    whole = np.zeros((len(bins), -(-bins.shape[1] // 8) * 8), np.uint8)
+    whole[:, : bins.shape[1]] = bins
+    key = whole.view(np.uint64)
+    if key.shape[1] == 1:
+        _, first, place = np.unique(key[:, 0], return_index=True, return_inverse=True)
+    else:
+        _, first, place = np.unique(whole.view(f"V{whole.shape[1]}")[:, 0], return_index=True, return_inverse=True)
+    return bins[first], place.reshape(-1)
 
 
 class Forest(Estimator):
@@ -434,15 +575,27 @@ class ForestModel(Model, MLWritable, JavaMLReadable):
         shared, cuts = dataset.sparkSession.sparkContext.broadcast(self.packed()), self.cuts
         shift, averaged = self.shift, self.averaged
 
-        @F.pandas_udf("double")
-        def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def scores(x: list[np.ndarray]) -> pa.Array:
             roots, feature, cut, left, value = shared.value
-            for x in batches:
-                bins = _binned(np.stack(x.to_numpy()).astype(np.float64), cuts) if len(x) else np.zeros((0, len(cuts)), np.uint8)
-                total = np.zeros(len(x))
+            records = _records(feature, cut, left)
+            bins, place = _distinct(np.concatenate([_binned(part, cuts) for part in x]))
+            total = np.zeros(len(bins))
+            for a in range(0, len(bins), CHUNK):
                 for root in roots:
-                    total += value[_leaves(root, feature, cut, left, bins)]
-                yield pd.Series(total / max(len(roots), 1) if averaged else total + shift)
+                    total[a : a + CHUNK] += value[_leaves(root, records, bins[a : a + CHUNK])]
+            return pa.array((total / max(len(roots), 1) if averaged else total + shift)[place])
+
+        @F.arrow_udf("double")
+        def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            held, size = [], 0
+            for x in batches:
+                if len(x):
+                    held.append(x.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(x), len(cuts)))
+                    size += len(x)
+                if size >= BLOCK:
+                    yield scores(held)
+                    held, size = [], 0
+            yield scores(held) if held else pa.array([], pa.float64())
 
         return dataset.withColumn("prediction", predict(vector_to_array("features")))
 
@@ -459,13 +612,14 @@ class ForestModel(Model, MLWritable, JavaMLReadable):
 
         def add(batches, total):
             roots, feature, cut, left, value = shared.value
+            records = _records(feature, cut, left)
             for batch in batches:
                 if batch.num_rows:
                     bins = _binned(batch.column("x").flatten().to_numpy().reshape(-1, len(cuts)), cuts)
                     error = batch.column("y").to_numpy() - shift
                     total[-1] += len(error)
                     for k, root in enumerate(roots):
-                        error = error - value[_leaves(root, feature, cut, left, bins)]
+                        error = error - value[_leaves(root, records, bins)]
                         total[k] += error @ error
 
         total = summed(rows, self.getNumTrees + 1, add, rows.rdd.getNumPartitions())

@@ -134,3 +134,47 @@ def test_rows_walk_to_the_open_nodes():
         while at in splits:
             at = 2 * at + int(row[splits[at][0]] > splits[at][1])
         assert at == node
+
+
+def test_equal_rows_are_cells_with_sums_and_grow_the_same_trees(spark, monkeypatch):
+    """Tasks that grow trees get cells, not rows, and blocks of many equal rows hold sums for each tree."""
+    df, x, _ = rows(spark, 3000)
+    alike = df.withColumn("x", F.transform("x", lambda v: F.floor(v / 10).cast("double")))
+    s = forest.ForestSettings(**SETTINGS)
+    ids, y, b = (np.array([r[k] for r in alike.collect()]) for k in ("id", "y", "x"))
+    order = np.lexsort(b.T)
+    block = forest.Cells.of(ids[order], y[order], b[order].astype(np.uint8))
+    record = block.record(s)
+    assert len(block.bins) == 27 and record[:2] == [3000, 27] and record[4] is None
+    kept = forest.Cells(block.bins, block.first, None, None, np.frombuffer(record[6], np.uint32).reshape(6, -1), np.frombuffer(record[7]).reshape(6, -1))
+    for tree in range(6):
+        w = forest._weights(ids[order], tree, s.seed)
+        assert kept.sums(tree, s.seed)[0].tolist() == np.add.reduceat(w, block.first).tolist()
+        assert kept.sums(tree, s.seed)[1] == pytest.approx(np.add.reduceat(w * y[order], block.first))
+    assert forest.Cells.of(ids, y, np.arange(6000, dtype=np.uint16).view(np.uint8).reshape(-1, 4)[:3000]).record(s)[4] is not None  # all differ
+    _, summed = nodes_of(alike)
+    _, levels = nodes_of(alike, small=5, cells=4000)
+    monkeypatch.setattr(forest, "DEARER", 0)
+    _, raw = nodes_of(alike)
+    assert summed == raw == levels
+
+
+def test_weights_by_table_are_those_by_search():
+    ids = np.random.default_rng(2).integers(-(2**62), 2**62, 300_000)
+    drawn = forest._mix(ids.view(np.uint64) + forest._mix(np.full(1, 9 * 1_000_003 + 4 + 1, np.uint64)))
+    assert (forest._weights(ids, 4, 9) == np.searchsorted(forest._POISSON, (drawn >> np.uint64(11)) / 2.0**53, "right")).all()
+
+
+def test_many_equal_rows_score_as_one(spark, monkeypatch):
+    fit, held = priced(spark)
+    spec = train.ModelSpec("f", lambda df, label: forest.Forest(label, forest.ForestSettings(5, 12, 1, "all", 1)), "label")
+    model, _ = train.fit(spec, fit, ["size", "kind"], "log_price")
+    roots, feature, cut, left, value = model.stages[-1].packed()
+    scored = train.score(model, held.union(held)).join(held.select("size", "kind").distinct(), ["size", "kind"]).collect()
+    for r in scored:
+        x, guess = [r["size"], "xyz".index(r["kind"])], []
+        for at in roots:
+            while left[at] >= 0:
+                at = left[at] + int(np.searchsorted(model.stages[-1].cuts[feature[at]], x[feature[at]], "left") > cut[at])
+            guess.append(float(value[at]))
+        assert r["prediction"] == pytest.approx(np.mean(guess))
