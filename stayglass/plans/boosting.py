@@ -6,6 +6,9 @@ Residuals follow the trees: a round reads them from Spark's cache, which is made
 trees since; every ``renew`` rounds the blocks are written again. Rows of a round are drawn by a generator that is seeded
 by block and round, so a lost task draws the same again.
 
+Up to ``alone`` rows, with or without many equal ones, are boosted in a task, as passes would take longer than their work:
+its rows with equal bins are one cell, and a round adds up what is drawn of each cell once for all levels. The trees are the same.
+
 As in Spark's own boosting, the first tree counts in full, and later ones fit twice the residual and count by ``rate``.
 """
 
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayglass.operators.sums import summed
-from stayglass.plans.forest import CLOSE, NODES, ForestModel, ForestSettings, _binned, find_cuts
+from stayglass.plans.forest import CLOSE, NODES, ForestModel, ForestSettings, _binned, _distinct, find_cuts
 from stayglass.session import work_path
 
 BLOCK = 65_536  # rows of a block
@@ -39,6 +42,7 @@ class BoostSettings:
     patience: int = 10  # rounds without gain on the held rows after which boosting stops
     bins: int = 64
     renew: int = 10
+    alone: int = 4_000_000  # rows that one task boosts in memory
 
 
 def best_round(losses, patience: int) -> int:
@@ -67,16 +71,19 @@ class Tree:
         n = 2 ** (depth + 1) - 1
         return cls(np.full(n, -1), np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros(n))
 
+    def below(self, at: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        """The children that rows at some nodes go to; where there is no split they stay."""
+        f, n = self.feature[at], bins.shape[1]
+        down = 2 * at + 1 + (bins.reshape(-1)[np.maximum(f, 0) * n + np.arange(n)] > self.cut[at])
+        return np.where(f >= 0, down, at)
+
     def reach(self, bins: np.ndarray) -> np.ndarray:
         """Node without a split, so far, of each row; ``bins`` has a row for each feature."""
-        n = bins.shape[1]
-        at, flat, rows = np.zeros(n, np.int64), bins.reshape(-1), np.arange(n)
+        at = np.zeros(bins.shape[1], np.int64)
         for _ in range(int(np.log2(len(self.feature) + 1)) - 1):
-            f = self.feature[at]
-            if not (f >= 0).any():
+            if not (self.feature[at] >= 0).any():
                 break
-            down = 2 * at + 1 + (flat[np.maximum(f, 0) * n + rows] > self.cut[at])
-            at = np.where(f >= 0, down, at)
+            at = self.below(at, bins)
         return at
 
 
@@ -186,11 +193,87 @@ def _split(tree: Tree, level: int, count: np.ndarray, sums: np.ndarray, scale: f
     return found
 
 
+def _rounds(s: BoostSettings, sums_of) -> tuple[list[Tree], list[float]]:
+    """Trees and the losses after each but the last. ``sums_of(number, trees, tree, level)`` gives what ``_level`` does."""
+    trees, losses = [], []
+    for number in range(s.rounds + 1):
+        tree = Tree.empty(s.depth)
+        for level in range(s.depth):
+            count, sums, loss = sums_of(number, trees, tree, level)
+            if level == 0:
+                if number:
+                    losses.append(loss)
+                if number == s.rounds or losses and best_round(losses, s.patience) <= len(losses) - s.patience:
+                    return trees, losses
+            if not _split(tree, level, count, sums, 1.0 if not number else 2 * s.rate):
+                break  # no row is left to split below some level
+        trees.append(tree)
+    return trees, losses
+
+
+class _Alone:
+    """All blocks in one task."""
+
+    def __init__(self, batches, width: int, s: BoostSettings):
+        blocks = sorted(((block, r, bins, held) for batch in batches for block, r, bins, held in _cells(batch)), key=lambda x: x[0])
+        self.s, self.width, self.blocks = s, width, [(block, len(r)) for block, r, _, _ in blocks]
+        r, held = (np.concatenate([x[i] for x in blocks]) for i in (1, 3))
+        cells, place = _distinct(np.ascontiguousarray(np.concatenate([x[2] for x in blocks], axis=1).T))
+        self.bins = np.ascontiguousarray(cells.T)
+        self.held, self.r, self.place = held, r, place
+        self.held_r, self.held_place = r[held], place[held]
+        self.added = np.zeros(len(cells))  # by the trees so far
+
+    def sums(self, number: int, trees: list[Tree], tree: Tree, level: int) -> tuple[np.ndarray, np.ndarray, float]:
+        s, (features, n) = self.s, self.bins.shape
+        if level == 0:
+            if trees:
+                step = trees[-1].value[trees[-1].below(self.at, self.bins)]
+                self.added += step
+                self.held_r -= step[self.held_place]
+            drawn = ~self.held
+            if s.subsample < 1:
+                drawn &= np.concatenate([np.random.default_rng([s.seed, number, block]).random(rows) < s.subsample for block, rows in self.blocks])
+            place = self.place[drawn]
+            self.count = np.bincount(place, minlength=n).astype(np.float64)
+            self.total = np.bincount(place, self.r[drawn], n) - self.count * self.added
+            self.at = np.zeros(n, np.int64)
+        else:
+            self.at = tree.below(self.at, self.bins)
+        first, size = 2**level - 1, 2**level * self.width
+        here = self.at >= first
+        some = slice(None) if here.all() else np.flatnonzero(here)
+        base, count, total = (self.at[some] - first) * self.width, self.count[some], self.total[some]
+        out = np.empty((2, features, size))
+        for j in range(features):
+            cell = base + self.bins[j, some]
+            out[0, j], out[1, j] = np.bincount(cell, count, size), np.bincount(cell, total, size)
+        loss = self.held_r @ self.held_r / len(self.held_r) if len(self.held_r) else np.nan
+        return (*out.reshape(2, features, 2**level, self.width), loss)
+
+
+FIELDS = ("feature", "cut", "value", "gain", "weight")
+
+
+def _boost_alone(blocks: DataFrame, width: int, s: BoostSettings) -> tuple[list[Tree], list[float]]:
+
+    def grow(batches):
+        trees, losses = _rounds(s, _Alone(batches, width, s).sums)
+        cells = [np.stack([getattr(t, f) for t in trees]).astype(np.float64).tobytes() for f in FIELDS] if trees else [b""] * len(FIELDS)
+        yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in (*cells, np.array(losses, np.float64).tobytes())], [*FIELDS, "losses"])
+
+    row = blocks.coalesce(1).mapInArrow(grow, ", ".join(f"{f} binary" for f in (*FIELDS, "losses"))).first()
+    columns = [np.frombuffer(row[f]).reshape(-1, 2 ** (s.depth + 1) - 1).astype(np.int64 if f in FIELDS[:2] else np.float64) for f in FIELDS]
+    return [Tree(*t) for t in zip(*columns)], np.frombuffer(row.losses).tolist()
+
+
 def boost(rows: DataFrame, s: BoostSettings) -> tuple[list[np.ndarray], float, list[Tree]]:
     """(cuts, shift, trees) over ``rows`` (id, x, y, held)."""
     spark = rows.sparkSession
     known = rows.where("NOT held")
-    bad, shift = known.agg(F.count_if(F.col("y").isNull() | F.isnan("y")), F.avg("y")).first()
+    bad, shift, n = rows.agg(
+        F.count_if(~F.col("held") & (F.col("y").isNull() | F.isnan("y"))), F.avg(F.when(~F.col("held"), F.col("y"))), F.count(F.lit(1))
+    ).first()
     if bad or shift is None:
         raise ValueError("labels must not be null or NaN" if bad else "no rows to learn from")
     cuts = find_cuts(known, ForestSettings(s.rounds, s.depth, 1, "all", s.seed, s.bins))
@@ -202,35 +285,29 @@ def boost(rows: DataFrame, s: BoostSettings) -> tuple[list[np.ndarray], float, l
         return spark.read.schema(BLOCKS).parquet(path), path
 
     base, path = written(_blocks(rows, cuts, shift))
-    tasks = base.rdd.getNumPartitions()
-    trees, since, losses, now = [], 0, [], None
-    for number in range(s.rounds + 1):
-        if number - since >= s.renew:
-            old = path
-            base, path = written(now)
-            now.unpersist()
-            now, since = None, number - 1
-            _drop(spark, old)
-        before, now = now, _after(base, trees[since:]).persist(StorageLevel.MEMORY_AND_DISK)
-        tree = Tree.empty(s.depth)
-        for level in range(s.depth):
-            count, sums, loss = _level(now, tasks, tree, level, features, width, number, s)
-            if level == 0:
-                if before is not None:
-                    before.unpersist()
-                if number:
-                    losses.append(loss)
-                if number == s.rounds or losses and best_round(losses, s.patience) <= len(losses) - s.patience:
-                    break
-            if not _split(tree, level, count, sums, 1.0 if not number else 2 * s.rate):
-                break
-        else:
-            trees.append(tree)
-            continue
-        if number == s.rounds or losses and best_round(losses, s.patience) <= len(losses) - s.patience:
-            break
-        trees.append(tree)  # no row is left to split below some level
-    now.unpersist()
+    if n <= s.alone:
+        trees, losses = _boost_alone(base, width, s)
+    else:
+        tasks, since, now = base.rdd.getNumPartitions(), 0, None
+
+        def sums_of(number: int, trees: list[Tree], tree: Tree, level: int):
+            nonlocal base, path, since, now
+            if level:
+                return _level(now, tasks, tree, level, features, width, number, s)
+            if number - since >= s.renew:
+                old = path
+                base, path = written(now)
+                now.unpersist()
+                now, since = None, number - 1
+                _drop(spark, old)
+            before, now = now, _after(base, trees[since:]).persist(StorageLevel.MEMORY_AND_DISK)
+            out = _level(now, tasks, tree, level, features, width, number, s)
+            if before is not None:
+                before.unpersist()
+            return out
+
+        trees, losses = _rounds(s, sums_of)
+        now.unpersist()
     _drop(spark, path)
     return cuts, shift, trees[: best_round(losses, s.patience)] if losses and not np.isnan(losses[0]) else trees
 

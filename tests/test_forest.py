@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from stayglass.plans import forest, train
+from stayglass.plans import boosting, forest, train
 
 
 def rows(spark, n=600, seed=4):
@@ -178,3 +178,17 @@ def test_many_equal_rows_score_as_one(spark, monkeypatch):
                 at = left[at] + int(np.searchsorted(model.stages[-1].cuts[feature[at]], x[feature[at]], "left") > cut[at])
             guess.append(float(value[at]))
         assert r["prediction"] == pytest.approx(np.mean(guess))
+
+
+@pytest.mark.parametrize("subsample", [0.8, 1.0])
+def test_one_task_boosts_the_same_trees(spark, subsample):
+    df, _, _ = rows(spark, 2000)
+    df = df.withColumn("held", F.col("id") % 5 == 0).union(df.limit(50).withColumn("held", F.lit(True)))
+    df = df.localCheckpoint()
+    s = boosting.BoostSettings(rounds=12, depth=4, rate=0.1, subsample=subsample, seed=3, patience=20, renew=5)
+    _, shift, trees = boosting.boost(df, s)
+    _, same, passes = boosting.boost(df, boosting.replace(s, alone=0))
+    assert shift == same and len(trees) == len(passes) > 1
+    for a, b in zip(trees, passes):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.weight == b.weight).all()
+        assert a.value == pytest.approx(b.value) and a.gain == pytest.approx(b.gain)
